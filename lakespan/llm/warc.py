@@ -1,7 +1,7 @@
 """WARC archives with content-addressed payloads.
 
-Payload bytes are stored once under their SHA-256, record headers exactly as they will stand in the archive;
-both tables are bucketed by the digest, so the join that puts records together moves neither. Spark's text
+Payload bytes are stored once under their SHA-256, in a table bucketed by it, and record headers separately,
+exactly as they will stand in the archive; the join that puts records together moves headers only. Spark's text
 writer, with the record separator of the format as its line separator, writes the .warc.gz files. Reading
 parses records by Content-Length as a stream, checks every payload against its SHA-1 and length, and finds
 what revisits stand for by a join with the responses.
@@ -38,25 +38,20 @@ def _uri(c):
     return F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
 
 
-def describe(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """pages (page_id, url, html) with sizes, digests, and the response each is recorded as or refers to."""
+def addressed(pages: DataFrame) -> DataFrame:
+    """pages (page_id, url, html) with payload, bytes, sha1 and address."""
     rows = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("payload"))
-    rows = rows.select("*", F.octet_length("payload").cast("long").alias("bytes"), F.sha1(F.col("payload").cast("binary")).alias("sha1"), F.sha2(F.col("payload").cast("binary"), 256).alias("address"))
-    first = pages.select(F.col("page_id").cast("long"), F.coalesce("html", F.lit("")).cast("binary").alias("p")).where((F.octet_length("p") >= least_bytes) & F.col("page_id").isNotNull())
-    first = first.groupBy(F.sha2("p", 256).alias("address")).agg(F.max("page_id").alias("response_id"))
-    rows = rows.join(first, "address", "left")
-    return rows.withColumn("revisit", (F.col("bytes") >= least_bytes) & F.col("response_id").isNotNull() & ~F.col("response_id").eqNullSafe(F.col("page_id")))
+    raw = F.col("payload").cast("binary")
+    return rows.select("*", F.octet_length("payload").cast("long").alias("bytes"), F.sha1(raw).alias("sha1"), F.sha2(raw, 256).alias("address"))
 
 
-def write(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_BYTES) -> str:
-    """Write pages as an archive; the folder with its .warc.gz files."""
-    spark = pages.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = uuid.uuid4().hex[:12]
-    rows = describe(pages, least_bytes)
-    http = _lines(("HTTP/1.1 200 OK",), ("Content-Type: text/html; charset=utf-8",), ("Content-Length: ", F.when(F.col("revisit"), F.lit(0)).otherwise(F.col("bytes")).cast("string")))
-    url = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
-    block = F.octet_length("http") + 2 + F.when(F.col("revisit"), 0).otherwise(F.col("bytes"))
+def headers(rows: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """(address, header, stored): exact headers of rows that have their payload's response_id."""
+    revisit = (F.col("bytes") >= least_bytes) & F.col("response_id").isNotNull() & ~F.col("response_id").eqNullSafe(F.col("page_id"))
+    rows = rows.withColumn("revisit", revisit)
+    own = F.when(F.col("revisit"), F.lit(0)).otherwise(F.col("bytes"))
+    http = _lines(("HTTP/1.1 200 OK",), ("Content-Type: text/html; charset=utf-8",), ("Content-Length: ", own.cast("string")))
+    rows = rows.withColumn("http", http).withColumn("url", F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"))
     head = _lines(
         ("WARC/1.1",),
         ("WARC-Type: ", F.when(F.col("revisit"), "revisit").otherwise("response")),
@@ -67,26 +62,28 @@ def write(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_BYTES) ->
         ("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", F.when(F.col("revisit"), "")),
         ("WARC-Refers-To: ", F.when(F.col("revisit"), _uri(F.col("response_id")))),
         ("Content-Type: application/http;msgtype=response",),
-        ("Content-Length: ", block.cast("string")),
+        ("Content-Length: ", (F.octet_length("http") + 2 + own).cast("string")),
     )
-    rows = rows.withColumn("http", http).withColumn("url", url).withColumn("header", F.concat(head, F.lit("\r\n"), F.col("http"), F.lit("\r\n")))
-    # One pass deals rows by digest. A payload's keeper carries its bytes; other rows of equal payload carry none.
-    keeper = ~F.col("revisit")
-    table, blobs = f"lakespan_warc_{tag}", f"lakespan_blob_{tag}"
-    kept = rows.select("address", "header", F.when(F.col("revisit"), None).otherwise(F.col("address")).alias("wants"), F.when(keeper, F.col("payload")).alias("payload"))
+    return rows.select("address", F.concat(head, F.lit("\r\n"), F.col("http"), F.lit("\r\n")).alias("header"), (~F.col("revisit")).alias("stored"))
+
+
+def write(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_BYTES) -> str:
+    """Write pages as an archive; the folder with its .warc.gz files."""
+    spark = pages.sparkSession
+    n, blobs = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lakespan_blobs_{uuid.uuid4().hex[:12]}"
+    rows = addressed(pages)
+    # Copies of a payload melt into one row before anything is shuffled, and the bytes are shuffled this once.
+    store = rows.groupBy("address").agg(F.first("payload").alias("payload"), F.max("page_id").alias("response_id"))
     try:
-        staged = scratch.cut(kept.select("address", "header", "wants", "payload"), "staged")
-        small = staged.where("wants is not null").groupBy("address").agg(F.first("payload").alias("payload"))
-        small.write.bucketBy(n, "address").format("parquet").saveAsTable(blobs)
-        staged.select("address", "header", "wants").write.bucketBy(n, "address").format("parquet").saveAsTable(table)
-        own = spark.table(table).join(spark.table(blobs), "address", "left")
-        body = F.concat("header", F.when(F.col("wants").isNotNull(), F.col("payload")).otherwise(""))
+        store.write.bucketBy(n, "address").option("compression", "zstd").format("parquet").saveAsTable(blobs)
+        light = rows.drop("payload").join(spark.table(blobs).select("address", "response_id"), "address")
+        heads = scratch.cut(headers(light, least_bytes), "headers")
+        stored = heads.where("stored").join(spark.table(blobs).select("address", "payload"), "address").select(F.concat("header", "payload").alias("value"))
+        records = stored.unionByName(heads.where("not stored").select(F.col("header").alias("value")))
         out = scratch.path("warc")
-        own.select(body.alias("value")).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(out)
-        scratch.drop("staged")
+        records.write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(out)
         return out
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"DROP TABLE IF EXISTS {blobs}")
 
 
