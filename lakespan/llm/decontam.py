@@ -33,7 +33,7 @@ PART, OVERLAP = 512, 64
 PENALTY = 2.0
 #: A run counts from that score, or from SHARE of a shorter item's tokens.
 LEAST_SCORE, SHARE, LEAST_SHORT = 13.0, 0.6, 6
-BITMAP_BITS = 22
+BITMAP_BITS = 24
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -98,13 +98,27 @@ def short_hash(t: np.ndarray) -> np.ndarray:
     return finish(h)
 
 
+def places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a hash in the bitmap."""
+    return h >> U(64 - BITMAP_BITS), (h >> U(8)) & U((1 << BITMAP_BITS) - 1)
+
+
+def known(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes may be those of a benchmark; bits holds 8 bits in each byte."""
+    one, two = places(h)
+    at = np.flatnonzero((bits[one >> U(3)] << (one & U(7)).astype(np.uint8)) & 128)
+    two = two[at]
+    return at[((bits[two >> U(3)] << (two & U(7)).astype(np.uint8)) & 128) > 0]
+
+
 def bitmap(parts: DataFrame) -> bytes:
-    """2**BITMAP_BITS bits, those of benchmark hashes set: of that size however many items there are."""
+    """2**BITMAP_BITS bits, two for each benchmark hash: of that size however many items there are."""
 
     def run(batches):
         bits = np.zeros(1 << BITMAP_BITS, bool)
         for b in batches:
-            bits[b.column(0).to_numpy(zero_copy_only=False).view(U) >> U(64 - BITMAP_BITS)] = True
+            for at in places(b.column(0).to_numpy(zero_copy_only=False).view(U)):
+                bits[at] = True
         at = np.flatnonzero(np.packbits(bits))
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.packbits(bits)[at].astype(np.int32))], ["at", "bits"])
 
@@ -122,14 +136,14 @@ def regions(docs: DataFrame, bits, reach: int, short: bool) -> DataFrame:
     (hash, position in the region)."""
 
     def run(batches):
-        known = np.unpackbits(np.frombuffer(bits.value, np.uint8)).view(bool)
+        own = np.frombuffer(bits.value, np.uint8)
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 t = tokens(text.as_py())
                 at, hs = [], []
                 for h in [*(h for _, h in seeds(t)), *([short_hash(t)] if short else [])]:
-                    hit = np.flatnonzero(known[h >> U(64 - BITMAP_BITS)])
+                    hit = known(h, own)
                     at.append(hit)
                     hs.append(h[hit])
                 if not sum(map(len, at)):
