@@ -3,9 +3,11 @@
 Each set of word shingles keeps the minimum and the maximum under each permutation, so half as many hash
 evaluations give the signature. Bands of it name buckets. Texts with equal sets form one class, and only
 classes meet in buckets. In a bucket leaders are compared with the others, round after round: a round is
-linear in the bucket, and a bucket is done when every pair of its classes has been compared or is already
-in one component, so no link between candidates is lost and no group emits all its pairs. Pairs whose
-signatures differ far beyond what chance allows are put aside; all others are confirmed on full sets.
+linear in the bucket, and a bucket is done when every pair of its classes has been compared, is already in
+one component, or can't be similar: shingles that no other class of the open buckets holds bound what a class
+can share, which settles most pairs of a group of heavily edited copies without comparing them. So no link
+between candidates is lost and no group emits all its pairs. Pairs whose signatures differ far beyond what
+chance allows are put aside; all others are confirmed on full sets.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked with nothing; shorter texts
 than a shingle are one shingle; a null doc_id stays on its own with a null component and is kept; rows that
@@ -30,8 +32,8 @@ PERMUTATIONS, ROWS = 56, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 _A = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, (PERMUTATIONS, 1), dtype=U) * U(2) + U(1)
 _BAND = finish(np.arange(1, BANDS + 1, dtype=U))
-#: A pair of the wanted similarity has fewer equal bytes of its sketches with a chance below 1e-8.
-LEAST_EQUAL = int(2 * PERMUTATIONS * 0.5)
+#: A pair of the wanted similarity has fewer equal bytes of its sketches with a chance of about 1e-5.
+LEAST_EQUAL = int(2 * PERMUTATIONS * 0.58)
 #: Leaders of a bucket in each round; the last number holds for all further rounds.
 LEADERS = (2, 8, 32, 128)
 
@@ -124,10 +126,36 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return both.select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(cls, own): how many shingles of each class no other class of sets holds; classes without are left out."""
+
+    def run(batches):
+        for b in batches:
+            for at in range(b.num_rows):
+                x = np.frombuffer(b.column(1)[at].as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b.column(0)[at].as_py(), np.int64)), pa.array(x)], ["cls", "h"])
+
+    rows = sets.select("cls", "x").mapInArrow(run, "cls long, h long")
+    return rows.groupBy("h").agg(F.count("*").alias("k"), F.min("cls").alias("cls")).where("k = 1").groupBy("cls").agg(F.count("*").alias("own"))
+
+
+def may_link(n, own, m, other, percent: int):
+    """Whether sets of n and m shingles, own and other of them unshared, may be as similar."""
+    same = F.least(n - own, m - other)
+    return F.lit(100) * same >= F.lit(percent) * (n + m - same)
+
+
+def unsettled(members: DataFrame, labels: DataFrame, s: Scratch, name: str) -> DataFrame:
+    """members (bucket, cls, ...) with comp, of those buckets that still hold several components."""
+    named = labels.select(F.col("u").alias("cls"), F.col("v").alias("comp"))
+    now = members.join(named, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
+    return s.cut(now.join(split, "bucket"), name)
+
+
 def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
-    spark = docs.sparkSession
-    s = Scratch(spark, "minhash")
+    s = Scratch(docs.sparkSession, "minhash")
     sig = s.cut(signatures(docs, words), "sig")
     ids = sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("min_id"))
     classes = s.cut(sig.where("cls is not null and doc_id is not null").select("cls", "n", "sketch", "bands").dropDuplicates(["cls"]), "classes")
@@ -139,38 +167,44 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(met, "id").select("cls", "text")
     sets = s.cut(shingles_of(texts, words), "sets")
 
+    # First round: the least class of each bucket leads.
     pairs = members.where("cls <> lo").select(F.least("lo", "cls").alias("a"), F.greatest("lo", "cls").alias("b")).distinct()
     tried = s.cut(plausible(pairs, classes, percent), "tried-0")
-    edges = s.cut(confirmed(tried, sets, percent), "edges-0")
-    labels = components(edges.toDF("u", "v"), s, "cc-0")  # (u, v): class, least class of its component
-    done = members.where("cls = lo").select("bucket", "cls")
-    members = members.select("bucket", "cls")
+    labels = components(s.cut(confirmed(tried, sets, percent), "edges-0").toDF("u", "v"), s, "cc-0")  # (class, least class of its component)
+    left = unsettled(members.where("cls <> lo").select("bucket", "cls"), labels, s, "open-1").drop("comp")
+    if not left.isEmpty():
+        there = left.select("cls").distinct()
+        own = there.join(classes.select("cls", "n"), "cls").join(own_shingles(sets.join(there, "cls", "left_semi")), "cls", "left")
+        left = s.cut(left.join(s.cut(own.select("cls", "n", F.coalesce("own", F.lit(0)).alias("own")), "own"), "cls"), "measured")
     i = 0
-    while True:
+    while not left.isEmpty():
         i += 1
-        now = members.join(labels.select(F.col("u").alias("cls"), F.col("v").alias("comp")), "cls", "left").select("bucket", "cls", F.coalesce("comp", "cls").alias("comp"))
-        now = now.join(done.withColumn("done", F.lit(True)), ["bucket", "cls"], "left").where("done is null").drop("done")
-        split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-        left = s.cut(now.join(split, "bucket"), f"left-{i}")
+        # A class that can't be similar to any set as large as the bucket's smallest has no link to lose there.
+        least = left.groupBy("bucket").agg(F.min("n").alias("least"))
+        near = F.greatest("least", F.col("n") - F.col("own"))
+        fit = F.lit(100) * (F.col("n") - F.col("own")) >= F.lit(percent) * (near + F.col("own"))
+        left = unsettled(left.join(least, "bucket").where(fit).select("bucket", "cls", "n", "own"), labels, s, f"left-{i}")
         if left.isEmpty():
             break
-        k = LEADERS[min(i, len(LEADERS)) - 1]
-        # The classes of the smaller components lead first: once they have, the rest is in one component.
+        # The least edited classes lead first. Then the classes of the smaller components do: once they have,
+        # what is left is one component.
         sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
-        order = Window.partitionBy("bucket").orderBy("m", "cls")
-        lead = s.cut(left.join(sizes, ["bucket", "comp"]).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).select("bucket", F.col("cls").alias("l"), F.col("comp").alias("lc")), f"lead-{i}")
-        pairs = left.join(lead, "bucket").where("comp <> lc").select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
+        first = [F.col("own") / F.col("n"), F.col("cls")] if i == 1 else [F.col("m"), F.col("cls")]
+        ranked = left.join(sizes, ["bucket", "comp"]).withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy(*first)))
+        lead = s.cut(ranked.where(F.col("r") <= LEADERS[min(i, len(LEADERS)) - 1]).select("bucket", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo")), f"lead-{i}")
+        may = (F.col("comp") != F.col("lc")) & may_link(F.col("n"), F.col("own"), F.col("ln"), F.col("lo"), percent)
+        pairs = left.join(lead, "bucket").where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
         new = s.cut(plausible(pairs.join(tried, ["a", "b"], "left_anti"), classes, percent), f"tried-{i}")
         edges = s.cut(confirmed(new, sets, percent), f"edges-{i}")
         tried = tried.unionByName(new)
-        done = done.unionByName(lead.select("bucket", F.col("l").alias("cls")))
-        members = left.select("bucket", "cls")
         if not edges.isEmpty():
             named = labels.select(F.col("u").alias("k"), F.col("v").alias("c"))
             up = edges.join(named.toDF("a", "ca"), "a", "left").join(named.toDF("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("u"), F.coalesce("cb", "b").alias("v")).where("u <> v")
             more = components(up, s, f"cc-{i}").toDF("w", "to")
             moved = labels.join(more, labels.v == more.w, "left").select("u", F.coalesce("to", "v").alias("v"))
             labels = s.cut(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), f"labels-{i}")
+        # Leaders have met everyone in their bucket.
+        left = left.join(lead.select("bucket", F.col("l").alias("cls")), ["bucket", "cls"], "left_anti").select("bucket", "cls", "n", "own")
 
     comp = ids.join(labels.toDF("cls", "comp"), "cls", "left").select("cls", "min_id", F.coalesce("comp", "cls").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("min_id").alias("component_id"))
