@@ -1,0 +1,20 @@
+"""Predicates and casts that reads push down, and sets of values."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def predicates(number: str, text: str) -> dict[str, Column]:
+    """The twelve shapes of filters over a number and a text column."""
+    n, t = F.col(number), F.col(text)
+    return {
+        "eq": n == 3, "gt": n > 5, "ge": n >= 5, "lt": n < 4, "le": n <= 4, "in": n.isin(1, 2, 7), "is_null": t.isNull(), "is_not_null": t.isNotNull(),
+        "not": ~(n == 3), "starts": t.startswith("A"), "ends": t.endswith("E"), "contains": t.contains("I"),
+    }
+
+
+def as_set(array: str) -> Column:
+    """A set's values: distinct, in order."""
+    return F.array_sort(F.array_distinct(array))

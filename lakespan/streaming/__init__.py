@@ -1,0 +1,12 @@
+"""The reference reads and writes bounded tables only; a stream can be written batch by batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from lakespan.sources.bridge import Bridge
+
+
+def upsert_batches(stream: DataFrame, table: str, merge_key: str):
+    """A writer that merges each micro-batch into table by merge_key; call start() on it."""
+    return stream.writeStream.outputMode("update").foreachBatch(lambda df, _: Bridge(df.sparkSession).write(df, "append", table=table, merge_key=merge_key) and None)
