@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from lakespan.sources.errors import ToleranceError
 
 
-def reason(not_null: list[str]):
-    """Why a row is rejected, or null: a column that must not be null is."""
-    out = F.lit(None).cast("string")
-    for c in reversed(not_null):
-        out = F.when(F.col(f"`{c}`").isNull(), F.lit(f"null in {c}")).otherwise(out)
-    return out
+def reason(rules: dict):
+    """Why a row is rejected, or null; rules: not_null names columns, octets and items give greatest sizes of columns."""
+    faults = [(F.col(f"`{c}`").isNull(), f"null in {c}") for c in rules.get("not_null", [])]
+    faults += [(F.octet_length(f"`{c}`") > n, f"more than {n} bytes in {c}") for c, n in rules.get("octets", {}).items()]
+    faults += [(F.size(f"`{c}`") > n, f"more than {n} items in {c}") for c, n in rules.get("items", {}).items()]
+    return F.coalesce(*[F.when(bad, F.lit(why)) for bad, why in faults], F.lit(None).cast("string"))
 
 
-def split(df: DataFrame, not_null: list[str]) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
     """The rows to take, and the rejected ones with rejected_reason."""
-    marked = df.withColumn("rejected_reason", reason(not_null))
+    marked = df.withColumn("rejected_reason", reason(rules))
     return marked.where("rejected_reason is null").drop("rejected_reason"), marked.where("rejected_reason is not null")
 
 

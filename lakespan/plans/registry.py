@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from lakespan.plans import reads, writes  # noqa: F401  (writes registers its queries in reads)
+
+QUERIES, ORACLE_SQL = reads.QUERIES, reads.ORACLE_SQL
 FLAGSHIP = "scan_table"

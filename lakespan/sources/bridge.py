@@ -1,11 +1,14 @@
 """Reading and writing tables of Spark's catalog with the bridge's options.
 
-Tables are Parquet tables of the catalog. What Parquet tables don't keep, columns that must not be null, stands
-in a table property. A write that depends on the table's own rows is staged under another name first.
+Tables are Parquet tables of the catalog. What Parquet tables don't keep (columns that must not be null, sets,
+greatest sizes) stands in a table property. A write that depends on the table's own rows is staged under another
+name first.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +20,9 @@ from lakespan.operators.merge import merge
 from lakespan.sources.errors import ExternalTableError, SchemaError, TableStateError
 from lakespan.sources.options import Options, parse
 
-NOT_NULL, STATUS = "lakespan.not_null", "lakespan_job_status"
+RULES, STATUS = "lakespan.rules", "lakespan_job_status"
+#: Metadata key of array columns that are sets.
+IS_SET = "is_set"
 _NATIVE = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
 
 
@@ -55,7 +60,10 @@ class Bridge:
             else:
                 df = self.spark.sql(o.query)
         else:
-            df = self.spark.table(identifier(o))
+            name = identifier(o)
+            df = self.spark.table(name)
+            for c in self.rules(name).get("sets", []):
+                df = df.withMetadata(c, {IS_SET: True})
         if o.json:
             bad = [f.name for f in df.schema if _holds_binary(f.dataType)]
             if bad:
@@ -68,9 +76,18 @@ class Bridge:
     def drop(self, **given) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {identifier(parse(given))}")
 
-    def not_null(self, name: str) -> list[str]:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == NOT_NULL).collect()
-        return [c for c in rows[0]["value"].split(",") if c] if rows else []
+    def tables(self, dbschema: str | None = None) -> list[str]:
+        return [t.name for t in self.spark.catalog.listTables(dbschema) if not t.isTemporary]
+
+    def rules(self, name: str) -> dict:
+        """What rows a table takes: see rejects.reason; sets names the columns that are sets."""
+        if not self.spark.catalog.tableExists(name) or self._is_view(name):
+            return {}
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == RULES).collect()
+        return json.loads(rows[0]["value"]) if rows else {}
+
+    def _is_view(self, name: str) -> bool:
+        return self.spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY")
 
     # Writing
 
@@ -83,12 +100,12 @@ class Bridge:
         if o.create_external_table:
             return self._external(df, o, name)
         check_schema(df.schema)
-        if o.table in [t.name for t in self.spark.catalog.listTables() if t.isTemporary]:
-            raise TableStateError(f"{o.table} is a view")
         there = self.spark.catalog.tableExists(name)
+        if there and self._is_view(name):
+            raise TableStateError(f"{name} is a view")
         if there and not o.merge_key:
             if mode == "ignore":
-                return {"copied": 0, "rejected": 0, "failed": 0.0}
+                return {"copied": 0, "rejected": 0, "failed": 0.0, "rejects": None}
             if mode.startswith("error"):
                 raise TableStateError(f"{name} exists")
             if mode == "overwrite" and not o.truncate:
@@ -96,37 +113,50 @@ class Bridge:
                 there = False
         if not there:
             self._create(df, o, name)
-        target = self.spark.table(name)
-        rows = mapped(df, target.schema, o.copy_column_list)
-        good, bad = rejects.split(rows, self.not_null(name))
-        counts = rows.agg(F.count("*").alias("n"), F.count(rejects.reason(self.not_null(name))).alias("bad")).first()
+        target, rules = self.spark.table(name), self.rules(name)
+        rows = staged(df, target.schema, o.copy_column_list)
+        rows = rows.withColumns({c: F.array_distinct(quoted(c)) for c in rules.get("sets", []) if c in rows.columns})
+        if not (o.merge_key and there):
+            rows = filled(rows, target.schema)
+        rules = {k: [c for c in v if c in rows.columns] if isinstance(v, list) else {c: n for c, n in v.items() if c in rows.columns} for k, v in rules.items()}
+        good, bad = rejects.split(rows, rules)
+        counts = rows.agg(F.count("*").alias("n"), F.count(rejects.reason(rules)).alias("bad")).first()
         copied, rejected = counts["n"] - counts["bad"], counts["bad"]
         try:
-            failed = rejects.check(copied, rejected, o.failed_rows_percent_tolerance) if rejected or not copied else 0.0
+            failed = rejects.check(copied, rejected, o.failed_rows_percent_tolerance)
         except Exception:
-            self._status(o, name, rejected / max(1, copied + rejected), False)
+            self._status(o, name, rejected / (copied + rejected) if copied else 1.0, False)
             raise
+        where = None
         if rejected:
-            bad.write.mode("overwrite").saveAsTable(f"lakespan_rejects_{uuid.uuid4().hex[:8]}")
+            where = f"lakespan_rejects_{uuid.uuid4().hex[:8]}"
+            bad.write.saveAsTable(where)
         if o.merge_key and there:
-            keys = [k.strip('"`') for k in o.merge_key]
-            self._replace(merge(target, good.select(*[quoted(c) for c in _given(df, target.schema, o.copy_column_list)]), keys), name)
+            self._replace(merge(target, good, [k.strip('"`') for k in o.merge_key]), name)
         elif mode == "overwrite":
             self._replace(good, name)
         else:
             good.write.mode("append").insertInto(name)
         self._status(o, name, failed, True)
-        return {"copied": copied, "rejected": rejected, "failed": failed}
+        return {"copied": copied, "rejected": rejected, "failed": failed, "rejects": where}
 
     def _create(self, df: DataFrame, o: Options, name: str) -> None:
         if o.target_table_sql:
             self.spark.sql(o.target_table_sql)
             if not self.spark.catalog.tableExists(name):
                 raise TableStateError(f"target_table_sql didn't create {name}")
-            return
-        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
-        must = ",".join(f.name for f in df.schema if not f.nullable)
-        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet TBLPROPERTIES ('{NOT_NULL}' = '{must}')")
+            must, sets = re.findall(r"[(,]\s*[`\"]?(\w+)[`\"]?\s+\w+(?:\([\d, ]+\))?\s+NOT\s+NULL", o.target_table_sql, re.I), []
+        else:
+            columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet")
+            must, sets = [f.name for f in df.schema if not f.nullable], [f.name for f in df.schema if f.metadata.get(IS_SET)]
+        fields = self.spark.table(name).schema
+        rules = {"not_null": must, "sets": sets}
+        rules["octets"] = {f.name: o.strlen for f in fields if o.strlen and isinstance(f.dataType, T.StringType)}
+        rules["items"] = {f.name: o.array_length for f in fields if o.array_length and isinstance(f.dataType, T.ArrayType)}
+        if any(rules.values()):
+            text = json.dumps(rules).replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{RULES}' = '{text}')")
 
     def _replace(self, rows: DataFrame, name: str) -> None:
         """Put rows in place of a table's own, which they may be read from."""
@@ -159,7 +189,7 @@ class Bridge:
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             raise
-        return {"copied": copied, "rejected": 0, "failed": 0.0}
+        return {"copied": copied, "rejected": 0, "failed": 0.0, "rejects": None}
 
     def _status(self, o: Options, name: str, failed: float, success: bool) -> None:
         if o.save_job_status_table:
@@ -187,19 +217,31 @@ def check_schema(schema: T.StructType, external: bool = False) -> None:
         raise SchemaError("the schema can't be stored", faults)
 
 
-def _given(df: DataFrame, target: T.StructType, columns: list[str]) -> list[str]:
-    """The target columns that df's columns go to, in df's order."""
-    if columns:
-        return [c.strip('"`') for c in columns]
-    by_name = {c.lower(): c for c in target.names}
-    if all(c.lower() in by_name for c in df.columns):
-        return [by_name[c.lower()] for c in df.columns]
-    return target.names[: len(df.columns)]
-
-
-def mapped(df: DataFrame, target: T.StructType, columns: list[str] | None = None) -> DataFrame:
-    """df in the target's columns and types: as listed, by name if every name is known, else by position."""
-    if len(df.columns) > len(target):
-        raise SchemaError(f"the table has {len(target)} columns, the rows {len(df.columns)}")
-    goes = dict(zip(_given(df, target, columns or []), df.columns, strict=True))
-    return df.select([(F.col(quoted(goes[f.name])) if f.name in goes else F.lit(None)).cast(f.dataType).alias(f.name) for f in target])
+def staged(df: DataFrame, target: T.StructType, columns: list[str] | None = None) -> DataFrame:
+    """df's columns under the names and types of the target columns they go to.
+
+    Without a list they go by name if the target knows every name, else by position. A list names them by
+    position; `c FILLER type` names a column that is only used by others, `c AS expression` computes one.
+    """
+    if not columns:
+        if len(df.columns) > len(target):
+            raise SchemaError(f"the table has {len(target)} columns, the rows {len(df.columns)}")
+        by_name = {c.lower(): c for c in target.names}
+        known = all(c.lower() in by_name for c in df.columns)
+        columns = [quoted(by_name[c.lower()]) for c in df.columns] if known else [quoted(c) for c in target.names[: len(df.columns)]]
+    items = [re.fullmatch(r"[`\"]?(.+?)[`\"]?(?:\s+(FILLER|AS)\s+(.+))?", c, re.I | re.S).groups() for c in columns]
+    plain = [(name, rest) for name, word, rest in items if (word or "").upper() != "AS"]
+    if len(plain) != len(df.columns):
+        raise SchemaError(f"{len(plain)} columns are listed, the rows have {len(df.columns)}")
+    named = df.select([F.col(quoted(old)).cast(kind or df.schema[old].dataType).alias(new) for (new, kind), old in zip(plain, df.columns, strict=True)])
+    types = {f.name.lower(): f for f in target}
+    unknown = [name for name, word, _ in items if (word or "").upper() != "FILLER" and name.lower() not in types]
+    if unknown:
+        raise SchemaError("columns aren't in the table", unknown)
+    kept = [(types[name.lower()], F.expr(rest) if word else F.col(quoted(name))) for name, word, rest in items if (word or "").upper() != "FILLER"]
+    return named.select([c.cast(f.dataType).alias(f.name) for f, c in kept])
+
+
+def filled(df: DataFrame, target: T.StructType) -> DataFrame:
+    """df with all columns of the target, in its order; those that df lacks are null."""
+    return df.select([(F.col(quoted(f.name)) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in target])

@@ -1,7 +1,11 @@
-"""Options of reads and writes, checked all at once."""
+"""Options of reads and writes, checked all at once.
+
+strlen and array_length bound the strings and arrays of a table that a write makes, where they are given.
+"""
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from lakespan.sources.errors import OptionError
@@ -19,7 +23,7 @@ class Options:
     dbschema: str | None = None
     num_partitions: int | None = None
     json: bool = False
-    strlen: int = 1024
+    strlen: int | None = None
     array_length: int = 0
     target_table_sql: str | None = None
     copy_column_list: list[str] = field(default_factory=list)
@@ -52,7 +56,7 @@ def _flag(text):
 def _names(text):
     if ";" in text:
         raise ValueError("holds a semicolon")
-    return [x.strip() for x in text.split(",") if x.strip()]
+    return [x.strip() for x in re.split(r",(?![^()]*\))", text) if x.strip()]
 
 
 def _external(text):
