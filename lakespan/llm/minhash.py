@@ -160,18 +160,22 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     ids = sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("min_id"))
     classes = s.cut(sig.where("cls is not null and doc_id is not null").select("cls", "n", "sketch", "bands").dropDuplicates(["cls"]), "classes")
     rows = classes.select("cls", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("bucket", "lo")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     members = s.cut(rows.join(shared, "bucket"), "members")
 
     met = members.select("cls").distinct().join(ids, "cls").select("cls", F.col("min_id").alias("id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(met, "id").select("cls", "text")
     sets = s.cut(shingles_of(texts, words), "sets")
 
-    # First round: the least class of each bucket leads.
-    pairs = members.where("cls <> lo").select(F.least("lo", "cls").alias("a"), F.greatest("lo", "cls").alias("b")).distinct()
+    # First round: each class meets one other, the best known of those it shares a bucket with. An original
+    # lies in its copies' fullest buckets, so a group of copies becomes a star of as many pairs as it has classes.
+    score = members.groupBy("cls").agg(F.sum("m").alias("score"))
+    known = members.select("bucket", "cls").join(score, "cls").select("bucket", F.struct("score", "cls").alias("by"))
+    hub = members.select("bucket", "cls").join(known.groupBy("bucket").agg(F.max("by").alias("by")), "bucket").groupBy("cls").agg(F.max("by").cls.alias("hub"))
+    pairs = hub.where("cls <> hub").select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b")).distinct()
     tried = s.cut(plausible(pairs, classes, percent), "tried-0")
     labels = components(s.cut(confirmed(tried, sets, percent), "edges-0").toDF("u", "v"), s, "cc-0")  # (class, least class of its component)
-    left = unsettled(members.where("cls <> lo").select("bucket", "cls"), labels, s, "open-1").drop("comp")
+    left = unsettled(members.select("bucket", "cls"), labels, s, "open-1").drop("comp")
     if not left.isEmpty():
         there = left.select("cls").distinct()
         own = there.join(classes.select("cls", "n"), "cls").join(own_shingles(sets.join(there, "cls", "left_semi")), "cls", "left")
