@@ -2,10 +2,12 @@
 
 Each set of word shingles keeps the minimum and the maximum under each permutation, so half as many hash
 evaluations give the signature. Bands of it name buckets. Texts with equal sets form one class, and only
-classes meet in buckets. In a bucket leaders are compared with the others, round after round: a round is
+classes meet in buckets. First each class is compared with the
+best known of those it meets; then, in buckets that aren't settled, leaders with the others, round after round: a round is
 linear in the bucket, and a bucket is done when every pair of its classes has been compared, is already in
-one component, or can't be similar: shingles that no other class of the open buckets holds bound what a class
-can share, which settles most pairs of a group of heavily edited copies without comparing them. So no link
+one component, or can't be similar: shingles that no other class of the open buckets holds, and bits of one
+bitmap that the other lacks, bound what two classes can share, which settles most pairs of a group of heavily
+edited copies within the join, without making or comparing them. So no link
 between candidates is lost and no group emits all its pairs. Pairs whose signatures differ far beyond what
 chance allows are put aside; all others are confirmed on full sets.
 
@@ -17,6 +19,7 @@ repeat a doc_id are judged by their own texts; an empty table gives an empty res
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ _BAND = finish(np.arange(1, BANDS + 1, dtype=U))
 LEAST_EQUAL = int(2 * PERMUTATIONS * 0.58)
 #: Leaders of a bucket in each round; the last number holds for all further rounds.
 LEADERS = (2, 8, 32, 128)
+#: 64-bit words of the bitmap that bounds what two sets can share.
+BITMAP = 16
 
 
 def signature(x: np.ndarray) -> np.ndarray:
@@ -139,8 +144,30 @@ def own_shingles(sets: DataFrame) -> DataFrame:
     return rows.groupBy("h").agg(F.count("*").alias("k"), F.min("cls").alias("cls")).where("k = 1").groupBy("cls").agg(F.count("*").alias("own"))
 
 
+def bitmaps(sets: DataFrame) -> DataFrame:
+    """(cls, bits) of sets (cls, x): a bit for each shingle, by its hash, in BITMAP words; the number of bits comes last."""
+
+    def run(batches):
+        for b in batches:
+            bits = np.zeros((b.num_rows, BITMAP), U)
+            for row, x in zip(bits, b.column(1), strict=True):
+                at = np.frombuffer(x.as_buffer(), U) & U(64 * BITMAP - 1)
+                np.bitwise_or.at(row, (at >> U(6)).astype(int), U(1) << (at & U(63)))
+            bits = np.hstack([bits, np.bitwise_count(bits).sum(1, dtype=U)[:, None]])
+            ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (BITMAP + 1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(ends, pa.array(bits.view(np.int64).ravel()))], ["cls", "bits"])
+
+    return sets.select("cls", "x").mapInArrow(run, "cls long, bits array<long>")
+
+
+def overlap_bound(n, bits: str, m, other: str):
+    """At most so many shingles are in both sets of n and m shingles: bits both have, and shingles that share a bit."""
+    both = reduce(lambda x, y: x + y, (F.bit_count(F.col(bits)[i].bitwiseAND(F.col(other)[i])) for i in range(BITMAP)))
+    return both + F.least(n - F.col(bits)[BITMAP], m - F.col(other)[BITMAP])
+
+
 def may_link(n, own, m, other, percent: int):
-    """Whether sets of n and m shingles, own and other of them unshared, may be as similar."""
+    """Whether sets of n and m shingles, own and other of them unshared at least, may be as similar."""
     same = F.least(n - own, m - other)
     return F.lit(100) * same >= F.lit(percent) * (n + m - same)
 
@@ -179,7 +206,8 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     if not left.isEmpty():
         there = left.select("cls").distinct()
         own = there.join(classes.select("cls", "n"), "cls").join(own_shingles(sets.join(there, "cls", "left_semi")), "cls", "left")
-        left = s.cut(left.join(s.cut(own.select("cls", "n", F.coalesce("own", F.lit(0)).alias("own")), "own"), "cls"), "measured")
+        own = own.select("cls", "n", F.coalesce("own", F.lit(0)).alias("own")).join(bitmaps(sets.join(there, "cls", "left_semi")), "cls")
+        left = s.cut(left.join(s.cut(own, "own"), "cls"), "measured")
     i = 0
     while not left.isEmpty():
         i += 1
@@ -187,7 +215,7 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         least = left.groupBy("bucket").agg(F.min("n").alias("least"))
         near = F.greatest("least", F.col("n") - F.col("own"))
         fit = F.lit(100) * (F.col("n") - F.col("own")) >= F.lit(percent) * (near + F.col("own"))
-        left = unsettled(left.join(least, "bucket").where(fit).select("bucket", "cls", "n", "own"), labels, s, f"left-{i}")
+        left = unsettled(left.join(least, "bucket").where(fit).select("bucket", "cls", "n", "own", "bits"), labels, s, f"left-{i}")
         if left.isEmpty():
             break
         # The least edited classes lead first. Then the classes of the smaller components do: once they have,
@@ -195,8 +223,9 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
         first = [F.col("own") / F.col("n"), F.col("cls")] if i == 1 else [F.col("m"), F.col("cls")]
         ranked = left.join(sizes, ["bucket", "comp"]).withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy(*first)))
-        lead = s.cut(ranked.where(F.col("r") <= LEADERS[min(i, len(LEADERS)) - 1]).select("bucket", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo")), f"lead-{i}")
+        lead = s.cut(ranked.where(F.col("r") <= LEADERS[min(i, len(LEADERS)) - 1]).select("bucket", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo"), F.col("bits").alias("lb")), f"lead-{i}")
         may = (F.col("comp") != F.col("lc")) & may_link(F.col("n"), F.col("own"), F.col("ln"), F.col("lo"), percent)
+        may &= F.lit(100 + percent) * overlap_bound(F.col("n"), "bits", F.col("ln"), "lb") >= F.lit(percent) * (F.col("n") + F.col("ln"))
         pairs = left.join(lead, "bucket").where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
         new = s.cut(plausible(pairs.join(tried, ["a", "b"], "left_anti"), classes, percent), f"tried-{i}")
         edges = s.cut(confirmed(new, sets, percent), f"edges-{i}")
@@ -208,7 +237,7 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
             moved = labels.join(more, labels.v == more.w, "left").select("u", F.coalesce("to", "v").alias("v"))
             labels = s.cut(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), f"labels-{i}")
         # Leaders have met everyone in their bucket.
-        left = left.join(lead.select("bucket", F.col("l").alias("cls")), ["bucket", "cls"], "left_anti").select("bucket", "cls", "n", "own")
+        left = left.join(lead.select("bucket", F.col("l").alias("cls")), ["bucket", "cls"], "left_anti").select("bucket", "cls", "n", "own", "bits")
 
     comp = ids.join(labels.toDF("cls", "comp"), "cls", "left").select("cls", "min_id", F.coalesce("comp", "cls").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("min_id").alias("component_id"))
