@@ -158,7 +158,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
         m = train(rows, labels)
         yield pa.RecordBatch.from_arrays([pa.array([m.weights.astype(np.float32).tobytes()]), pa.array([m.ratios.astype(np.float32).tobytes()]), pa.array([[m.bias, m.slope, m.offset]])], ["w", "r", "s"])
 
-    one = have.mapInArrow(digest, "k long, x binary, y int").coalesce(1).mapInArrow(learn, "w binary, r binary, s array<double>").collect()
+    # repartition, not coalesce: the scan and the features stay spread, only the sample's features go to one task.
+    one = have.mapInArrow(digest, "k long, x binary, y int").repartition(1).mapInArrow(learn, "w binary, r binary, s array<double>").collect()
     if not one:
         return train([], np.zeros(0))
     w, r = (np.frombuffer(bytes(one[0][c]), np.float32) for c in ("w", "r"))
