@@ -215,7 +215,10 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         least = left.groupBy("bucket").agg(F.min("n").alias("least"))
         near = F.greatest("least", F.col("n") - F.col("own"))
         fit = F.lit(100) * (F.col("n") - F.col("own")) >= F.lit(percent) * (near + F.col("own"))
-        left = unsettled(left.join(least, "bucket").where(fit).select("bucket", "cls", "n", "own", "bits"), labels, s, f"left-{i}")
+        # Written before what reads it twice, so no round computes the joins of an earlier one again.
+        fitted = s.cut(left.join(least, "bucket").where(fit).select("bucket", "cls", "n", "own", "bits"), f"fit-{i}")
+        left = unsettled(fitted, labels, s, f"left-{i}")
+        s.drop(f"fit-{i}", "measured" if i == 1 else f"rest-{i - 1}")
         if left.isEmpty():
             break
         # The least edited classes lead first. Then the classes of the smaller components do: once they have,
@@ -237,7 +240,9 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
             moved = labels.join(more, labels.v == more.w, "left").select("u", F.coalesce("to", "v").alias("v"))
             labels = s.cut(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), f"labels-{i}")
         # Leaders have met everyone in their bucket.
-        left = left.join(lead.select("bucket", F.col("l").alias("cls")), ["bucket", "cls"], "left_anti").select("bucket", "cls", "n", "own", "bits")
+        rest = left.join(lead.select("bucket", F.col("l").alias("cls")), ["bucket", "cls"], "left_anti")
+        left = s.cut(rest.select("bucket", "cls", "n", "own", "bits"), f"rest-{i}")
+        s.drop(f"left-{i}", f"lead-{i}")
 
     comp = ids.join(labels.toDF("cls", "comp"), "cls", "left").select("cls", "min_id", F.coalesce("comp", "cls").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("min_id").alias("component_id"))
