@@ -66,7 +66,8 @@ class Model:
     def word_scores(self, words: list[str]) -> np.ndarray:
         """One row for each word of letters; an empty word scores 0 everywhere."""
         h, starts, script = grams(words)
-        g = self.weights[h]
+        g = np.zeros((len(h) + 1, self.weights.shape[1]), self.weights.dtype)  # an empty last word begins behind the last trigram
+        g[:-1] = self.weights[h]
         g[(starts[1:] - 1)] = 0  # trigrams across two words
         out = np.add.reduceat(g, starts, axis=0)
         sizes = np.fromiter(map(len, words), np.int64, len(words))

@@ -37,6 +37,14 @@ def test_language(docs, none):
     assert {r.lang_pred for r in langid.identify(docs.drop("score"), empty).collect()} == {"und"}
 
 
+def test_word_without_letters_comes_last(docs):
+    m = langid.fit(docs.select("doc_id", "text", "lang"))
+    for words in (["one", ""], [""], ["", "one", "", ""]):
+        scores = m.word_scores(words)
+        assert scores.shape == (len(words), len(m.langs)) and all((scores[i] == 0).all() for i, w in enumerate(words) if not w)
+    assert [r[0] for r in langid.results(langid.Tagger(m), ["one two 17", "17"])][1] == "und"
+
+
 def test_near_duplicates(docs, none):
     rows = minhash.cluster(docs).collect()
     assert len(rows) == N
