@@ -77,6 +77,17 @@ def test_packing(docs, none):
     assert packing.pack(packing.pieces(none.select("doc_id", "text"))).count() == 0
 
 
+def test_packing_takes_added_tokens(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    enc = Tokenizer.from_file(str(path("byte_bpe_50k.json")))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y\n", "<|endoftext| >", "don't  <|EndOfText|>", "é\u2003<|endoftext|>\u00a0ñ", "a" + " " * 1_000_000 + "<|endoftext|>"]
+    assert [packing.encoder()(t).tolist() for t in texts] == [enc.encode(t, add_special_tokens=False).ids for t in texts]
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.length for r in rows} == {i: len(enc.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
 def test_urls(spark):
     urls = [(1, None), (2, ""), (3, "no scheme"), (4, "http://EXAMPLE.net/en/x?y"), (5, "http://example.net/de/"), (6, "http://xexample.com/de/"), (7, "https://a.b.org"), (8, "http://x.com/casino/1"), (8, "http://x.com/casino/1"), (9, "http://x.com/" + "a/" * 20_000)]
     pages = spark.createDataFrame(urls, "page_id long, url string").withColumn("token", F.lit(1))
