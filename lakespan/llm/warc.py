@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -88,9 +89,16 @@ def write(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_BYTES) ->
 
 
 def parse(chunks):
-    """(header fields, payload) of the records whose parts between CR LF CR LF are chunks; fails on broken ones."""
-    it = iter(chunks)
-    for head in it:
+    """(header fields, payload) of one file's records; fails on broken ones.
+
+    chunks are the file's parts between CR LF CR LF, so joined by it they are its bytes. Where a part ends says
+    nothing about a record: a block is as long as its Content-Length, and what a part holds beyond it and the
+    CR LF CR LF behind it is the next header."""
+    end, it, head = _END.encode(), iter(chunks), b""
+    while True:
+        head = head or next(it, None)
+        if head is None:
+            return
         if not head.startswith(b"WARC/"):
             raise ValueError(f"no record begins with {head[:60]!r}")
         fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
@@ -101,10 +109,11 @@ def parse(chunks):
                 raise ValueError(f"record {fields[b'WARC-Record-ID']!r} is cut short")
             parts.append(part)
             got += len(part) + 4
-        block = b"\r\n\r\n".join(parts)
-        if len(block) != size:
-            raise ValueError(f"record {fields[b'WARC-Record-ID']!r} has {len(block)} bytes, not {size}")
-        yield fields, block.partition(b"\r\n\r\n")[2]
+        block = end.join(parts)
+        if block[size : size + 4] not in (b"", end):
+            raise ValueError(f"record {fields[b'WARC-Record-ID']!r} doesn't end after {size} bytes")
+        yield fields, block[:size].partition(end)[2]
+        head = block[size + 4 :]
 
 
 def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
@@ -118,7 +127,8 @@ def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
 
     def run(batches):
         rows, held = [], 0
-        for f, payload in parse(x.as_py() for b in batches for x in b.column(0)):
+        chunks = ((x.as_py(), file) for b in batches for x, file in zip(b.column(0), b.column(1).to_pylist(), strict=True))
+        for f, payload in chain.from_iterable(parse(x for x, _ in own) for _, own in groupby(chunks, lambda c: c[1])):
             kind, said = f[b"WARC-Type"].decode(), f[b"WARC-Payload-Digest"].decode()[5:]
             own = None if kind == "revisit" else hashlib.sha1(payload).hexdigest()
             if own not in (None, said):
@@ -134,7 +144,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
 
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, declared_digest string" + ", payload binary" * payloads
     lines = spark.read.schema("value string").option("lineSep", _END).text(folder)
-    return lines.select(F.col("value").cast("binary")).mapInArrow(run, schema)
+    return lines.select(F.col("value").cast("binary"), F.xxhash64("_metadata.file_path").alias("file")).mapInArrow(run, schema)
 
 
 def resolve(records: DataFrame) -> DataFrame:

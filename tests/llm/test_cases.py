@@ -71,6 +71,21 @@ def test_warc(spark, docs, none):
     assert warc.resolve(warc.read(spark, warc.write(pages.limit(0), Scratch(spark, "w")))).count() == 0
 
 
+def test_warc_payloads_that_end_like_records(spark):
+    ends = ["\r\n", "\r\n\r\n", "\r\n\r\n\r\n", "\r", "\n", "\r\n\r", "\r\nWARC/1.1\r\n\r\n"]
+    texts = {i: ("x" * 1200 if i % 2 else "") + f"abc{i // 4}" + end for i, end in enumerate(e for e in ends for _ in range(4))} | {99: "\r\n", 100: "\r\n\r\n"}
+    pages = spark.createDataFrame([(i, "u", t) for i, t in texts.items()], "page_id long, url string, html string")
+    for parts in (1, 4, 30):  # whichever record comes last in a file
+        rows = warc.read(spark, warc.write(pages.repartition(parts), Scratch(spark, "w")), payloads=True).collect()
+        assert sorted(r.page_id for r in rows) == sorted(texts)
+        assert all(bytes(r.payload).decode() == texts[r.page_id] for r in rows if r.record_type == "response")
+        assert {r.page_id for r in rows if r.record_type == "response"} > {99, 100}
+    with pytest.raises(ValueError):
+        list(warc.parse([b"WARC/1.1\r\nWARC-Record-ID: x\r\nContent-Length: 3", b"abcd"]))
+    with pytest.raises(ValueError):
+        list(warc.parse([b"WARC/1.1\r\nWARC-Record-ID: x\r\nContent-Length: 9", b"abcd"]))
+
+
 def test_packing(docs, none):
     rows = packing.pack(packing.pieces(docs.select("doc_id", "text"))).collect()
     assert sum(r.piece == 0 for r in rows) == N and all(0 < r.length <= 2048 for r in rows)
