@@ -25,6 +25,10 @@ BUCKETS = 1 << 16
 SAMPLE_DOCS = 12_000
 #: What a change of language costs, in nats.
 SWITCH = 6.0
+#: A short text may fall short of its language's mean score by so many deviations of its length.
+DEVIATIONS = 6.0
+#: Least share of the letters and least confidence of a text whose language can be told.
+LEAST_SHARE, LEAST_SURE = 0.55, 0.5
 #: First and last code point of ranges by script. 0 stands for any other script.
 SCRIPTS = (
     (0x0041, 0x024F, 1), (0x0370, 0x03FF, 2), (0x0400, 0x052F, 3), (0x0530, 0x058F, 4), (0x0590, 0x05FF, 5), (0x0600, 0x06FF, 6),
@@ -62,19 +66,33 @@ class Model:
     langs: list[str]
     weights: np.ndarray  # BUCKETS x languages, log probabilities
     scripts: np.ndarray  # N_SCRIPTS x languages, whether the language is written so
+    gain: np.ndarray  # by language: mean and deviation of what its own trigrams score above the background
+    spread: np.ndarray
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """One row for each word of letters; an empty word scores 0 everywhere."""
+        return self.judged(words)[0]
+
+    def judged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """word_scores, less the best language's log probability, and that: the second part is by word."""
         h, starts, script = grams(words)
         g = np.zeros((len(h) + 1, self.weights.shape[1]), self.weights.dtype)  # an empty last word begins behind the last trigram
         g[:-1] = self.weights[h]
         g[(starts[1:] - 1)] = 0  # trigrams across two words
         out = np.add.reduceat(g, starts, axis=0)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        out -= out.max(1, keepdims=True)
+        top = out.max(1)
+        out -= top[:, None]
         out[~self.scripts[script]] -= 50.0
-        out[sizes == 0] = 0
-        return out.astype(np.float32)
+        out[sizes == 0] = top[sizes == 0] = 0
+        return out.astype(np.float32), top
+
+    def confidence(self, lang: int, letters: int, likelihood: float) -> float:
+        """How well a text of so many letters is explained: 1 as its language's own texts are, 0 as letters drawn
+        from BUCKETS trigrams alike are. A text whose shortfall is DEVIATIONS of such a length's gets 0.5 at least."""
+        short = self.gain[lang] - (likelihood / letters + np.log(BUCKETS))
+        allowed = max(self.gain[lang] / 2, DEVIATIONS * self.spread[lang] / letters**0.5, 1e-9)
+        return float(np.clip(1 - short / (2 * allowed), 0, 1))
 
 
 class Tagger:
@@ -89,6 +107,7 @@ class Tagger:
     def clear(self) -> None:
         self.ids: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.m.langs)), np.float32)
+        self.tops = np.zeros(0)
         self.sizes = np.zeros(0, np.int32)
 
     def lookup(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -100,14 +119,17 @@ class Tagger:
         if len(ids) > known:
             new = list(ids)[known:]
             clean = [re.sub(r"\s", "", x) for x in letters("\n".join(new)).split("\n")] if known or new else []
-            self.scores = np.concatenate([self.scores, self.m.word_scores(clean)])
+            scores, tops = self.m.judged(clean)
+            self.scores, self.tops = np.concatenate([self.scores, scores]), np.concatenate([self.tops, tops])
             self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, clean), np.int32, len(clean))])
         return out
 
-    def label(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text: the language index of each word, and how many letters the word has."""
+    def label(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        """For each text: the language index of each word, how many letters the word has, and the text's log
+        probability in these languages."""
         words = self.lookup(texts)
-        return list(zip(viterbi(words, self.scores, self.switch), (self.sizes[w] for w in words), strict=True))
+        paths = viterbi(words, self.scores, self.switch)
+        return [(p, self.sizes[w], float(self.scores[w, p].sum(dtype=float) + self.tops[w].sum())) for p, w in zip(paths, words, strict=True)]
 
 
 def viterbi(docs: list[np.ndarray], scores: np.ndarray, switch: np.float32) -> list[np.ndarray]:
@@ -188,24 +210,28 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     share = c[BUCKETS:] / np.maximum(c[BUCKETS:].sum(0), 1)
     scripts = share > 0.01
     scripts[~scripts.any(1)] = True  # unseen scripts leave every language
-    return Model(langs, np.log(seen / seen.sum(0)).astype(np.float32), scripts)
+    p = seen / seen.sum(0)
+    above = np.log(p * BUCKETS)
+    gain = (p * above).sum(0)
+    return Model(langs, np.log(p).astype(np.float32), scripts, gain, np.sqrt((p * (above - gain) ** 2).sum(0)))
 
 
 def results(tagger: Tagger, texts: list[str | None]):
-    """For each text: language, score and spans (language, first word, words)."""
+    """For each text: language, score, spans (language, first word, words) and confidence."""
     langs = tagger.m.langs
     if not langs:
-        return [(UND, 0.0, []) for _ in texts]
+        return [(UND, 0.0, [], 0.0) for _ in texts]
     out = []
-    for path, size in tagger.label(texts):
+    for path, size, likelihood in tagger.label(texts):
         total = int(size.sum())
         if not total:
-            out.append((UND, 0.0, []))
+            out.append((UND, 0.0, [], 0.0))
             continue
         share = np.bincount(path, size, minlength=len(langs))
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
         spans = [{"lang": langs[path[a]], "first_word": int(a), "n_words": int(b - a)} for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        out.append((langs[int(share.argmax())], float(share.max() / total), spans))
+        best = int(share.argmax())
+        out.append((langs[best], float(share[best] / total), spans, tagger.m.confidence(best, total, likelihood)))
     return out
 
 
@@ -214,8 +240,8 @@ PORTION = 6_000_000
 SPANS = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "spans"), switch: float = SWITCH) -> DataFrame:
-    """docs, and three columns: the language, its share of the letters, and the spans of words."""
+def identify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, ...] = ("lang_pred", "score", "spans", "confidence"), switch: float = SWITCH) -> DataFrame:
+    """docs, and four columns: the language, its share of the letters, the spans of words, and the confidence."""
     at = docs.columns.index(text)
 
     def run(batches):
@@ -226,17 +252,17 @@ def identify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str
             while first < b.num_rows:
                 last = max(first + 1, int(np.searchsorted(sizes, sizes[first] + PORTION, "right")) - 1)
                 part = b.slice(first, last - first)
-                lang, score, spans = zip(*results(tagger, part.column(at).to_pylist()), strict=True)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, SPANS)], [*map(str, range(part.num_columns)), *"lsn"])
+                lang, score, spans, sure = zip(*results(tagger, part.column(at).to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, SPANS), pa.array(sure, pa.float64())], [*map(str, range(part.num_columns)), *"lsnc"])
                 first = last
 
     kept = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
-    out = docs.mapInArrow(_renamed(run, len(docs.columns)), f"{kept}, lang string, score double, spans array<struct<lang:string,first_word:long,n_words:long>>")
+    out = docs.mapInArrow(_renamed(run, len(docs.columns)), f"{kept}, lang string, score double, spans array<struct<lang:string,first_word:long,n_words:long>>, confidence double")
     return out.toDF(*docs.columns, *names)
 
 
 def _renamed(run, n: int):
-    names = [*(f"c{i}" for i in range(n)), "lang", "score", "spans"]
+    names = [*(f"c{i}" for i in range(n)), "lang", "score", "spans", "confidence"]
 
     def go(batches):
         for b in run(batches):
@@ -256,8 +282,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """Documents whose language is known and holds at least that share of the letters."""
+def keep_identified(spark: SparkSession, docs: DataFrame, least: float = LEAST_SHARE, sure: float = LEAST_SURE) -> DataFrame:
+    """Documents whose language is known, holds at least that share of the letters, and explains the text: those in
+    other languages or none, and mixtures without a clear majority, go."""
     model = fit(docs.select("doc_id", "text", "lang"))
-    out = identify(docs, model, names=("__lang_pred", "__lang_score", "__lang_spans"))
-    return out.where((F.col("__lang_pred") != UND) & (F.col("__lang_score") >= least)).select(*docs.columns)
+    out = identify(docs, model, names=("__lang_pred", "__lang_score", "__lang_spans", "__lang_sure"))
+    return out.where((F.col("__lang_pred") != UND) & (F.col("__lang_score") >= least) & (F.col("__lang_sure") >= sure)).select(*docs.columns)

@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
+from lakespan.llm import langid
 from lakespan.llm.registry import ORACLE_SQL, QUERIES
 from tests.oracle import rows_in_sql, rows_of
 
@@ -39,6 +40,24 @@ def test_language(spark):
     assert np.mean([r.lang_pred == docs[r.doc_id]["lang"] for r in held]) > 0.9
 
 
+def test_language_stage_rejects(spark):
+    """Unlearnt languages, gibberish and even mixtures go; of held-out labelled texts nearly all stay."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    model = langid.fit(docs.where(~langid.held_out()))
+    by = {}
+    for r in docs.where(langid.held_out() & docs.lang.isNotNull()).collect():
+        by.setdefault(r.lang, []).append(r.text)
+    one, two = (next(t for t in by[x] if t and len(t) > 900)[:400] for x in ("en", "fr"))
+    odd = ["nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura " * 4, "xkqz vwpt jrrg bzzq hhfk qqlx zvbn mtrw " * 8, "мой дядя самых честных правил " * 8, f"{one} {two}", "17 -- 4"]
+    rows = [(10**9 + i, t, None) for i, t in enumerate(odd)]
+    more = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    kept = {r.doc_id for r in langid.keep_identified(spark, more).collect()}
+    assert not kept & {r[0] for r in rows}
+    held = [t for texts_ in by.values() for t in texts_ if any(c.isalpha() for c in t or "")]
+    got = langid.results(langid.Tagger(model), held)
+    assert np.mean([share >= langid.LEAST_SHARE and sure >= langid.LEAST_SURE for _, share, _, sure in got]) > 0.99
+
+
 def shingles(text):
     w = WORD.findall((text or "").encode().lower())
     k = min(5, len(w))
