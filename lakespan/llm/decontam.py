@@ -6,15 +6,19 @@ hashes, of fixed size, keeps document hashes that cannot meet from being shuffle
 are compared along the diagonal, and the best run is scored: an equal token counts 1, another one costs
 PENALTY. A document is contaminated by an item when such a run holds enough of it.
 
+Items of fewer than SHORT tokens have seeds of their own: windows of successive tokens, as many as every run that
+reaches the score must hold in a row, however its other tokens are edited. So no run over such an item is lost.
+
 Tokens are runs of letters and digits, lower-cased, so punctuation and case don't matter.
 
-Defined cases: null, empty and tokenless texts match nothing; items shorter than a seed match by all of their
-tokens where they have at least LEAST_SHORT, else nothing; a document that holds several items gives a row for
+Defined cases: null, empty and tokenless texts match nothing; items of fewer than LEAST_SHORT tokens match where all
+of their tokens stand in a row; a document that holds several items gives a row for
 each; rows that repeat a document or an item count once; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -31,8 +35,10 @@ SPAN = max(map(len, MASKS))
 #: Most tokens of an item that a diagonal is scored over; longer items are cut into overlapping parts.
 PART, OVERLAP = 512, 64
 PENALTY = 2.0
-#: A run counts from that score, or from SHARE of a shorter item's tokens.
+#: A run counts from that score, or from SHARE of a shorter item's tokens, but LEAST_SHORT or all of them at least.
 LEAST_SCORE, SHARE, LEAST_SHORT = 13.0, 0.6, 6
+#: Items of fewer tokens need less than LEAST_SCORE.
+SHORT = 22
 BITMAP_BITS = 24
 _WORD = re.compile(r"[^\W_]+")
 
@@ -63,7 +69,20 @@ def runs(equal: np.ndarray) -> tuple[float, int, int]:
 
 def wanted(n: int) -> float:
     """The score that a run over an item of n tokens must reach."""
-    return min(LEAST_SCORE, max(LEAST_SHORT, SHARE * n))
+    return min(LEAST_SCORE, max(min(n, LEAST_SHORT), SHARE * n))
+
+
+def in_a_row(n: int) -> int:
+    """So many equal tokens in a row are in every run over an item of n tokens that reaches wanted(n): e equal tokens
+    and m others score e - PENALTY * m, with e + m <= n, and the others part them into m + 1 rows at most."""
+    score = math.ceil(wanted(n))
+    rows = [(m, math.ceil(score + PENALTY * m)) for m in range(n)]
+    return min(-(-e // (m + 1)) for m, e in rows if e + m <= n)
+
+
+def short_kind(n: int) -> int:
+    """The seeds of an item of n tokens, n < SHORT: their length, below zero where it is all of the item's tokens."""
+    return -n if n < LEAST_SHORT else in_a_row(n)
 
 
 def item_parts(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -74,13 +93,12 @@ def item_parts(items: DataFrame, key: str = "item_id", text: str = "text") -> Da
             rows = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 h = tokens(t)
-                if len(h) < LEAST_SHORT:
+                if not len(h):
                     continue
                 for part, a in enumerate(range(0, max(1, len(h) - OVERLAP), PART - OVERLAP)):
                     own = h[a : a + PART]
-                    got = [{"h": int(x), "p": p} for _, hs in seeds(own) for p, x in enumerate(hs.view(np.int64))]
-                    if not got:  # shorter than every mask
-                        got = [{"h": int(short_hash(own).view(np.int64)[0]), "p": 0}]
+                    kinds = [short_hash(own, short_kind(len(h)))] if len(h) < SHORT else [hs for _, hs in seeds(own)]
+                    got = [{"h": int(x), "p": p} for hs in kinds for p, x in enumerate(hs.view(np.int64))]
                     rows.append((i, part, len(h), own.view(np.int64), got))
             cols = zip(*rows, strict=True) if rows else [[]] * 5
             types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int32())]))]
@@ -89,11 +107,11 @@ def item_parts(items: DataFrame, key: str = "item_id", text: str = "text") -> Da
     return items.select(F.col(key).cast("long").alias("item_id"), F.col(text).alias("text")).dropDuplicates().mapInArrow(run, "item_id long, part int, n int, tokens array<long>, seeds array<struct<h:long,p:int>>")
 
 
-def short_hash(t: np.ndarray) -> np.ndarray:
-    """One hash of each window of LEAST_SHORT tokens, for items that no mask fits."""
-    n = len(t) - LEAST_SHORT + 1
-    h = np.full(max(n, 0), 0xD6E8FEB86659FD93, U)
-    for k in range(LEAST_SHORT):
+def short_hash(t: np.ndarray, kind: int) -> np.ndarray:
+    """A hash of each window of that many tokens, for short items of that kind."""
+    size = abs(kind)
+    h = np.full(max(len(t) - size + 1, 0), (0xD6E8FEB86659FD93 + kind * 0x9E3779B97F4A7C15) % 2**64, U)
+    for k in range(size):
         h += t[k : k + len(h)] * _MIX[k]
     return finish(h)
 
@@ -129,11 +147,11 @@ def bitmap(parts: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def regions(docs: DataFrame, bits, reach: int, short: bool) -> DataFrame:
+def regions(docs: DataFrame, bits, reach: int, short: list[int]) -> DataFrame:
     """(doc_id, region, tokens, hits) around hashes of docs (doc_id, text) that the bitmap knows.
 
-    A region is a stretch of tokens that holds the hits and reach tokens to either side; hits are
-    (hash, position in the region)."""
+    short has the kinds of the short items. A region is a stretch of tokens that holds the hits and reach tokens to
+    either side; hits are (hash, position in the region)."""
 
     def run(batches):
         own = np.frombuffer(bits.value, np.uint8)
@@ -142,8 +160,10 @@ def regions(docs: DataFrame, bits, reach: int, short: bool) -> DataFrame:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 t = tokens(text.as_py())
                 at, hs = [], []
-                for h in [*(h for _, h in seeds(t)), *([short_hash(t)] if short else [])]:
+                for kind, h in [*((0, h) for _, h in seeds(t)), *((k, short_hash(t, k)) for k in short)]:
                     hit = known(h, own)
+                    if kind < 0:  # all of an item's tokens: its first place is its best run, others are no better
+                        hit = np.sort(hit[np.unique(h[hit], return_index=True)[1]])
                     at.append(hit)
                     hs.append(h[hit])
                 if not sum(map(len, at)):
@@ -167,8 +187,9 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     s = Scratch(spark, "decontam")
     parts = s.cut(item_parts(items), "parts")
-    facts = parts.agg(F.max(F.size("tokens")).alias("reach"), F.min("n").alias("least")).first()
-    reach, short = int(facts["reach"] or 0), facts["least"] is not None and facts["least"] < min(map(len, MASKS))
+    reach = int(parts.agg(F.max(F.size("tokens")).alias("reach")).first()["reach"] or 0)
+    # Fewer than SHORT numbers reach the driver.
+    short = sorted({short_kind(r["n"]) for r in parts.where(F.col("n") < SHORT).select("n").distinct().collect()})
     bits = spark.sparkContext.broadcast(bitmap(parts))
     found = s.cut(regions(docs, bits, reach, short), "regions")
     hits = found.select("doc_id", "region", F.inline("hits")).withColumnRenamed("p", "at")

@@ -1,5 +1,8 @@
 """Nulls, empty and long texts, repeated rows, empty tables and columns with clashing names."""
 
+from itertools import combinations
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +147,22 @@ def test_decontamination(spark, docs, none):
     assert decontam.keep_clean(docs, items).columns == docs.columns
 
 
+def test_decontamination_by_short_items(spark):
+    """Every overlap that reaches the score is found, whatever tokens of a short item are replaced."""
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(1, 22)]
+    texts, want = [], set()
+    for n, item in items:
+        words = item.split()
+        for holes in (h for m in range(4) for h in combinations(range(n), m)):
+            equal = np.array([k not in holes for k in range(n)])
+            d = len(texts)
+            texts.append((d, " ".join(["und", *(w if e else "other" for w, e in zip(words, equal, strict=True)), "so"] * 2)))
+            if decontam.runs(equal)[0] >= decontam.wanted(n):
+                want.add((d, n))
+    got = {(r.doc_id, r.item_id) for r in decontam.overlaps(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and {n for _, n in want} == set(range(1, 22))
+
+
 def test_shards(docs, none):
     rows = sharding.shard(docs.select("doc_id", "text")).collect()
     sizes = [sum(r.shard == i for r in rows) for i in range(8)]
