@@ -13,7 +13,7 @@ Tokens are runs of letters and digits, lower-cased, so punctuation and case don'
 
 Defined cases: null, empty and tokenless texts match nothing; items of fewer than LEAST_SHORT tokens match where all
 of their tokens stand in a row; a document that holds several items gives a row for
-each; rows that repeat a document or an item count once; an empty table on either side gives an empty result.
+each; rows that repeat a doc_id or an item_id count once, as do those without one; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -186,17 +186,18 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, first_token, n_tokens, equal): each item a document holds, with the best run."""
     spark = docs.sparkSession
     s = Scratch(spark, "decontam")
-    parts = s.cut(item_parts(items), "parts")
+    # Numbers that are written with parts and regions stand for them, so rows without an id take part as well.
+    parts = s.cut(item_parts(items).withColumn("part_id", F.monotonically_increasing_id()), "parts")
     reach = int(parts.agg(F.max(F.size("tokens")).alias("reach")).first()["reach"] or 0)
     # Fewer than SHORT numbers reach the driver.
     short = sorted({short_kind(r["n"]) for r in parts.where(F.col("n") < SHORT).select("n").distinct().collect()})
     bits = spark.sparkContext.broadcast(bitmap(parts))
-    found = s.cut(regions(docs, bits, reach, short), "regions")
-    hits = found.select("doc_id", "region", F.inline("hits")).withColumnRenamed("p", "at")
-    keys = parts.select("item_id", "part", F.inline("seeds"))
-    diagonals = hits.join(keys, "h").select("doc_id", "region", "item_id", "part", (F.col("at") - F.col("p")).alias("diagonal")).distinct()
-    known = parts.select("item_id", "part", "n", F.col("tokens").alias("item"))
-    both = diagonals.join(known, ["item_id", "part"]).join(found.select("doc_id", "region", "tokens"), ["doc_id", "region"])
+    found = s.cut(regions(docs, bits, reach, short).withColumn("region_id", F.monotonically_increasing_id()), "regions")
+    hits = found.select("region_id", F.inline("hits")).withColumnRenamed("p", "at")
+    keys = parts.select("part_id", F.inline("seeds"))
+    diagonals = hits.join(keys, "h").select("region_id", "part_id", (F.col("at") - F.col("p")).alias("diagonal")).distinct()
+    known = parts.select("part_id", "item_id", "n", F.col("tokens").alias("item"))
+    both = diagonals.join(known, "part_id").join(found.select("region_id", "doc_id", "region", "tokens"), "region_id")
 
     def verify(batches):
         for b in batches:
@@ -224,6 +225,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs that hold no benchmark item."""
-    gone = overlaps(docs.select("doc_id", "text"), items).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """docs that hold no benchmark item; each row is judged by its own text, whatever its doc_id."""
+    rows = Scratch(docs.sparkSession, "clean").cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "rows")
+    gone = overlaps(rows.select(F.col("__uid").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("__gone")).distinct()
+    return rows.join(gone, rows["__uid"] == gone["__gone"], "left_anti").drop("__uid")

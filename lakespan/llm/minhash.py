@@ -257,6 +257,13 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without those of which a near copy with a smaller doc_id is there."""
-    gone = cluster(docs.select("doc_id", "text")).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """One row of each group of near copies in docs: that with the least doc_id, those without one last.
+
+    Each row is judged by its own text: a number that is written with it stands for it, and doc_id only says which
+    row of a group stays. Of rows that repeat a doc_id, the first one does."""
+    rows = Scratch(docs.sparkSession, "one").cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "rows")
+    own = cluster(rows.select(F.col("__uid").alias("doc_id"), "text")).select(F.col("doc_id").alias("__own"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("__uid"))
+    ids = rows.select("__uid", order.alias("order"))
+    stay = own.join(ids, own["__own"] == ids["__uid"]).groupBy("component_id").agg(F.min("order")["__uid"].alias("__stays")).select("__stays")
+    return rows.join(stay, rows["__uid"] == stay["__stays"], "left_semi").drop("__uid")

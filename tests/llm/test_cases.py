@@ -57,6 +57,20 @@ def test_near_duplicates(docs, none):
     assert minhash.keep_one(docs).columns == docs.columns
 
 
+def test_stages_judge_rows(spark):
+    """Repeated rows, one doc_id on several texts, and rows without doc_id."""
+    passage = " ".join(f"w{i}" for i in range(40))
+    clean = [" ".join(f"{c}{i}" for i in range(40)) for c in "abc"]
+    rows = [(1, passage), (1, passage), (2, clean[0]), (2, passage), (None, passage), (None, clean[1]), (None, clean[1]), (9, clean[2]), (8, clean[2] + " more")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    by = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    assert by(minhash.keep_one(table)) == sorted([(1, passage), (2, clean[0]), (None, clean[1]), (8, clean[2] + " more")], key=str)
+    for item in (None, 5):
+        items = spark.createDataFrame([(item, passage), (None, "not there at all")], "item_id long, text string")
+        assert by(decontam.keep_clean(table, items)) == sorted([r for r in rows if r[1] != passage], key=str)
+        assert {(r.doc_id, r.item_id) for r in decontam.overlaps(table, items).collect()} == {(1, item), (2, item), (None, item)}
+
+
 def test_quality(spark, docs, none):
     labels = spark.createDataFrame([(4, 0, 0), (5, 1, 0), (8, 1, 1), (6, None, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
     m = quality.fit(quality.sample(docs, labels))
