@@ -7,9 +7,10 @@ best known of those it meets; then, in buckets that aren't settled, leaders with
 linear in the bucket, and a bucket is done when every pair of its classes has been compared, is already in
 one component, or can't be similar: shingles that no other class of the open buckets holds, and bits of one
 bitmap that the other lacks, bound what two classes can share, which settles most pairs of a group of heavily
-edited copies within the join, without making or comparing them. So no link
-between candidates is lost and no group emits all its pairs. Pairs whose signatures differ far beyond what
-chance allows are put aside; all others are confirmed on full sets.
+edited copies within the join, without making or comparing them. So no group
+emits all its pairs. Pairs whose signatures differ far beyond what chance allows are put aside unconfirmed, which
+loses a pair of similarity 0.75 with a chance of about 3e-9, besides 2.4e-5 by banding; all others are confirmed
+on full sets.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked with nothing; shorter texts
 than a shingle are one shingle; a null doc_id stays on its own with a null component and is kept; rows that
@@ -35,8 +36,8 @@ PERMUTATIONS, ROWS = 56, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 _A = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, (PERMUTATIONS, 1), dtype=U) * U(2) + U(1)
 _BAND = finish(np.arange(1, BANDS + 1, dtype=U))
-#: A pair of the wanted similarity has fewer equal bytes of its sketches with a chance of about 1e-5.
-LEAST_EQUAL = int(2 * PERMUTATIONS * 0.58)
+#: A pair of the wanted similarity has fewer equal bytes of its sketches with a chance of about 3e-9.
+LEAST_EQUAL = int(2 * PERMUTATIONS * 0.5)
 #: Leaders of a bucket in each round; the last number holds for all further rounds.
 LEADERS = (2, 8, 32, 128)
 #: 64-bit words of the bitmap that bounds what two sets can share.

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and columns with clashing names."""
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pytest
@@ -57,6 +58,11 @@ def test_near_duplicates(docs, none):
     assert minhash.keep_one(docs).columns == docs.columns
 
 
+def test_sketches_hardly_lose_pairs():
+    n, p = 2 * minhash.PERMUTATIONS, 0.75 + 0.25 / 256
+    assert sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(minhash.LEAST_EQUAL)) < 1e-8
+
+
 def test_stages_judge_rows(spark):
     """Repeated rows, one doc_id on several texts, and rows without doc_id."""
     passage = " ".join(f"w{i}" for i in range(40))
