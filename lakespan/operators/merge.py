@@ -1,4 +1,9 @@
-"""Upsert by key, as a join, an anti-join and a union."""
+"""Upsert by key.
+
+Parquet tables know no MERGE. A source that Spark expects to be small is sent to all tasks, so the target isn't
+shuffled; its keys that the source has are then few, and an anti join with them finds what is new. A larger source
+meets the target in one full outer join.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakespan.sources.errors import MergeError
+from lakespan.sources.names import quoted
+
+#: A source of fewer bytes, as Spark expects it, is broadcast.
+MOST_SENT = 32 * 2**20
+
+
+def is_small(df: DataFrame) -> bool:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= MOST_SENT
 
 
 def merge(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -13,20 +26,27 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 
     Rows of target with a key in source take source's columns and keep the others; each duplicate of a target
     row is updated. Source rows without a match are added, their missing columns null. Null keys match nothing.
-    The keys of source must be unique.
+    The keys of source must be unique. Names of columns may hold any characters, and match whatever their case.
     """
-    missing = [k for k in keys if k not in source.columns or k not in target.columns]
+    of_target, of_source = ({c.lower(): i for i, c in enumerate(df.columns)} for df in (target, source))
+    missing = [k for k in keys if k.lower() not in of_target or k.lower() not in of_source]
     if missing:
         raise MergeError("merge keys aren't in both tables", missing)
-    unknown = [c for c in source.columns if c not in target.columns]
+    unknown = [c for c in source.columns if c.lower() not in of_target]
     if unknown:
         raise MergeError("columns aren't in the target", unknown)
-    twice = source.dropna(subset=keys).groupBy(*keys).count().where("count > 1").limit(1)
+    t = target.select([F.col(quoted(c)).alias(f"t{i}") for i, c in enumerate(target.columns)] + [F.lit(True).alias("old")])
+    s = source.select([F.col(quoted(c)).alias(f"s{i}") for i, c in enumerate(source.columns)] + [F.lit(True).alias("new")])
+    of_t, of_s = ([f"{p}{at[k.lower()]}" for k in keys] for p, at in (("t", of_target), ("s", of_source)))
+    twice = s.dropna(subset=of_s).groupBy(*of_s).count().where("count > 1").limit(1)
     if not twice.isEmpty():
         raise MergeError(f"keys of the source repeat: {', '.join(keys)}")
-    new = source.select([F.col(c).alias(f"__new_{c}") for c in source.columns]).withColumn("__hit", F.lit(True))
-    on = [target[k] == new[f"__new_{k}"] for k in keys]
-    updated = target.join(new, on, "left").select([F.when(F.col("__hit"), F.col(f"__new_{c}")).otherwise(target[c]).alias(c) if c in source.columns else target[c] for c in target.columns])
-    held = target.select([F.col(k).alias(f"__key_{k}") for k in keys]).distinct()
-    added = source.join(held, [source[k] == held[f"__key_{k}"] for k in keys], "left_anti")
-    return updated.unionByName(added, allowMissingColumns=True)
+    on = [F.col(a) == F.col(b) for a, b in zip(of_t, of_s, strict=True)]
+    pick = [(F.when(F.col("new"), F.col(f"s{of_source[c.lower()]}")).otherwise(F.col(f"t{i}")) if c.lower() in of_source else F.col(f"t{i}")).alias(c) for i, c in enumerate(target.columns)]
+    if not is_small(source):
+        return t.join(s, on, "full").select(pick)
+    updated = t.join(F.broadcast(s), on, "left").select(pick)
+    held = t.select(of_t).join(F.broadcast(s.select(of_s)), on, "left_semi").distinct()
+    added = s.join(F.broadcast(held), on, "left_anti")  # at most as many keys as the source has
+    blank = [(F.col(f"s{of_source[c.lower()]}") if c.lower() in of_source else F.lit(None)).cast(target.schema[i].dataType).alias(c) for i, c in enumerate(target.columns)]
+    return updated.unionAll(added.select(blank))

@@ -5,32 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakespan.sources.errors import ToleranceError
+from lakespan.sources.names import quoted
+
+#: The column that says why a row is rejected.
+REASON = "rejected_reason"
 
 
 def reason(rules: dict):
     """Why a row is rejected, or null; rules: not_null names columns, octets and items give greatest sizes of columns."""
-    faults = [(F.col(f"`{c}`").isNull(), f"null in {c}") for c in rules.get("not_null", [])]
-    faults += [(F.octet_length(f"`{c}`") > n, f"more than {n} bytes in {c}") for c, n in rules.get("octets", {}).items()]
-    faults += [(F.size(f"`{c}`") > n, f"more than {n} items in {c}") for c, n in rules.get("items", {}).items()]
+    faults = [(F.col(quoted(c)).isNull(), f"null in {c}") for c in rules.get("not_null", [])]
+    faults += [(F.octet_length(quoted(c)) > n, f"more than {n} bytes in {c}") for c, n in rules.get("octets", {}).items()]
+    faults += [(F.size(quoted(c)) > n, f"more than {n} items in {c}") for c, n in rules.get("items", {}).items()]
     return F.coalesce(*[F.when(bad, F.lit(why)) for bad, why in faults], F.lit(None).cast("string"))
 
 
-def split(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
-    """The rows to take, and the rejected ones with rejected_reason."""
-    marked = df.withColumn("rejected_reason", reason(rules))
-    return marked.where("rejected_reason is null").drop("rejected_reason"), marked.where("rejected_reason is not null")
-
-
-def check(copied: int, rejected: int, tolerance: float) -> float:
-    """The failed fraction, 1 where nothing was copied; fails where it exceeds the tolerance."""
-    failed = rejected / (copied + rejected) if copied else 1.0
-    if failed > tolerance:
-        raise ToleranceError(f"{rejected} rows were rejected and {copied} copied: {failed:.4g} is above the tolerance of {tolerance:.4g}")
-    return failed
+def failed(copied: int, rejected: int) -> float:
+    """The failed fraction, 1 where nothing was copied."""
+    return rejected / (copied + rejected) if copied else 1.0
 
 
 def summary(rejected: DataFrame, rows: int = 10) -> DataFrame:
     """The most frequent reasons, with a sample row each."""
-    data = F.to_json(F.struct(*[f"`{c}`" for c in rejected.columns if c != "rejected_reason"]))
-    return rejected.groupBy("rejected_reason").agg(F.count("*").alias("count"), F.min(data).alias("sample")).orderBy(F.desc("count"), "rejected_reason").limit(rows)
+    data = F.to_json(F.struct(*[quoted(c) for c in rejected.columns if c != REASON]))
+    return rejected.groupBy(REASON).agg(F.count("*").alias("count"), F.min(data).alias("sample")).orderBy(F.desc("count"), REASON).limit(rows)

@@ -22,7 +22,11 @@ class TableStateError(BridgeError):
 
 
 class ToleranceError(BridgeError):
-    pass
+    """More rows were rejected than may be; rejects names the table that keeps them."""
+
+    def __init__(self, message: str, rejects: str | None = None):
+        super().__init__(message)
+        self.rejects = rejects
 
 
 class MergeError(BridgeError):

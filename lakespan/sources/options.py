@@ -5,15 +5,15 @@ strlen and array_length bound the strings and arrays of a table that a write mak
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 from lakespan.sources.errors import OptionError
+from lakespan.sources.names import split
 
 #: Names that were replaced, with what replaced them.
 REPLACED = {"target_table_ddl": "target_table_sql", "numpartitions": "num_partitions", "hdfs_url": "staging_fs_url", "web_hdfs_url": "staging_fs_url"}
 #: Options of a remote server or of credentials, which have nothing to act on here.
-IGNORED = {"host", "port", "db", "user", "password", "backup_server_node", "tls_mode", "file_permissions", "time_operations", "prevent_cleanup"}
+IGNORED = {"host", "port", "db", "user", "password", "backup_server_node", "tls_mode", "file_permissions", "time_operations"}
 
 
 @dataclass
@@ -32,6 +32,7 @@ class Options:
     create_external_table: str | None = None
     truncate: bool = False
     save_job_status_table: bool = False
+    prevent_cleanup: bool = False
     staging_fs_url: str | None = None
     max_file_size_export_mb: int = 4096
     max_row_group_size_export_mb: int = 16
@@ -54,9 +55,12 @@ def _flag(text):
 
 
 def _names(text):
-    if ";" in text:
+    if len(split(text, ";")) > 1:
         raise ValueError("holds a semicolon")
-    return [x.strip() for x in re.split(r",(?![^()]*\))", text) if x.strip()]
+    out = [x.strip() for x in split(text, ",") if x.strip()]
+    if any(x.startswith("(") for x in out):
+        raise ValueError("must not stand in parentheses")
+    return out
 
 
 def _external(text):
@@ -68,7 +72,7 @@ def _external(text):
 _CHECKS = {
     "table": str, "dbschema": str, "query": lambda q: q.strip().rstrip(";"), "num_partitions": _number(int, 1, 10**9), "json": _flag,
     "strlen": _number(int, 1, 32_000_000), "array_length": _number(int, 0, 10**9), "target_table_sql": str, "copy_column_list": _names, "merge_key": _names,
-    "failed_rows_percent_tolerance": _number(float, 0, 1), "create_external_table": _external, "truncate": _flag, "save_job_status_table": _flag,
+    "failed_rows_percent_tolerance": _number(float, 0, 1), "create_external_table": _external, "truncate": _flag, "save_job_status_table": _flag, "prevent_cleanup": _flag,
     "staging_fs_url": str, "max_file_size_export_mb": _number(int, 1, 10**9), "max_row_group_size_export_mb": _number(int, 1, 10**9),
 }
 
