@@ -22,7 +22,7 @@ from lakespan.sources import external, tables
 from lakespan.sources.errors import ExternalTableError, SchemaError, TableStateError, ToleranceError
 from lakespan.sources.names import dotted, quoted, shown, table_parts, unquoted
 from lakespan.sources.options import Options, parse
-from lakespan.sources.tables import IS_SET, MAX_LENGTH, Definition, Tables
+from lakespan.sources.tables import IS_SET, MAX_LENGTH, Definition, Tables, sql_type
 
 __all__ = ["IS_SET", "MAX_LENGTH", "STATUS", "Bridge", "check_schema", "quoted", "staged"]
 STATUS = "lakespan_job_status"
@@ -144,9 +144,11 @@ class Bridge:
         else:
             d = tables.of_rows(df.schema, o.strlen, o.array_length)
         rows = staged(df, d.schema, o.copy_column_list)
-        rows = rows.withColumns({c: F.array_distinct(quoted(c)) for c in d.rules.get("sets", []) if c in rows.columns})
         rows = rows if merging else filled(rows, d.schema)
-        rules = {k: [c for c in v if c in rows.columns] if isinstance(v, list) else {c: n for c, n in v.items() if c in rows.columns} for k, v in d.rules.items()}
+        have = set(rows.columns)
+        rules = {k: [c for c in v if c in have] if isinstance(v, list) else {c: n for c, n in v.items() if c in have} for k, v in d.rules.items()}
+        if rules.get("sets"):
+            rows = rows.withColumns({c: F.array_distinct(quoted(c)) for c in rules["sets"]})
         may_reject = any(v for k, v in rules.items() if k != "sets")
         by_sql_anew = there and new and d.sql
         try:
@@ -298,16 +300,24 @@ def staged(df: DataFrame, target: T.StructType, columns: list[str] | None = None
     plain = [(name, rest) for name, word, rest in items if word != "AS"]
     if len(plain) != len(df.columns):
         raise SchemaError(f"{len(plain)} columns are listed, the rows have {len(df.columns)}")
-    named = df.select([F.col(quoted(old.name)).cast(kind or old.dataType).alias(new) for (new, kind), old in zip(plain, df.schema, strict=True)])
+    # Texts of expressions: a wide table has them parsed in one call.
+    named = df.selectExpr(*[as_type(quoted(old.name), kind) + f" AS {quoted(new)}" for (new, kind), old in zip(plain, df.schema, strict=True)])
     types = {f.name.lower(): f for f in target}
     unknown = [name for name, word, _ in items if word != "FILLER" and name.lower() not in types]
     if unknown:
         raise SchemaError("columns aren't in the table", unknown)
-    kept = [(types[name.lower()], F.expr(rest) if word else F.col(quoted(name))) for name, word, rest in items if word != "FILLER"]
-    return named.select([c.cast(f.dataType).alias(f.name) for f, c in kept])
+    have = {f.name: f.dataType for f in named.schema}
+    kept = [(types[name.lower()], f"({rest})" if word else quoted(name), None if word else have[name]) for name, word, rest in items if word != "FILLER"]
+    return named.selectExpr(*[f"{as_type(c, sql_type(named.sparkSession, f.dataType) if old != f.dataType else None)} AS {quoted(f.name)}" for f, c, old in kept])
+
+
+def as_type(c: str, kind: str | None) -> str:
+    return f"CAST({c} AS {kind})" if kind else c
 
 
 def filled(df: DataFrame, target: T.StructType) -> DataFrame:
     """df with all columns of the target, in its order; those that df lacks have their default, or null."""
-    return df.select([(F.col(quoted(f.name)) if f.name in df.columns else tables.default_of(f)).alias(f.name) for f in target])
-
+    have = set(df.columns)
+    if all(f.name in have for f in target):
+        return df.select([quoted(f.name) for f in target])
+    return df.select([(F.col(quoted(f.name)) if f.name in have else tables.default_of(f)).alias(f.name) for f in target])

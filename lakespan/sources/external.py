@@ -12,11 +12,7 @@ from pyspark.sql import types as T
 from lakespan.sources.errors import ExternalTableError
 from lakespan.sources.names import dotted, quoted
 from lakespan.sources.options import Options
-from lakespan.sources.tables import MAX_LENGTH, RULES, Tables, nullable, sizes
-
-
-def ddl(spark: SparkSession, f: T.StructField) -> str:
-    return f"{quoted(f.name)} {spark._jvm.org.apache.spark.sql.types.DataType.fromJson(f.dataType.json()).sql()}"
+from lakespan.sources.tables import MAX_LENGTH, RULES, Tables, nullable, sizes, sql_type
 
 
 def columns_of(spark: SparkSession, url: str) -> tuple[T.StructType, list[str]]:
@@ -46,7 +42,7 @@ def register(spark: SparkSession, url: str, parts: list[str], known: T.StructTyp
     fields = [given[f.name.lower()] if f.name in by else f for f in schema]
     fields = [T.StructField(f.name, f.dataType, True, {MAX_LENGTH: given[f.name.lower()].metadata[MAX_LENGTH]} if f.name.lower() in given and MAX_LENGTH in given[f.name.lower()].metadata else f.metadata) for f in fields]
     if by:
-        spark.sql(f"CREATE TABLE {dotted(parts)} ({', '.join(ddl(spark, f) for f in fields)}) USING parquet PARTITIONED BY ({', '.join(map(quoted, by))}) LOCATION '{url.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))}'")
+        spark.sql(f"CREATE TABLE {dotted(parts)} ({', '.join(f'{quoted(f.name)} {sql_type(spark, f.dataType)}' for f in fields)}) USING parquet PARTITIONED BY ({', '.join(map(quoted, by))}) LOCATION '{url.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))}'")
     else:
         spark.catalog.createTable(dotted(parts), path=url, source="parquet", schema=nullable(T.StructType(fields)))
     try:

@@ -34,6 +34,13 @@ class Definition:
     sql: str | None = None
 
 
+def sql_type(spark: SparkSession, t: T.DataType) -> str:
+    """A type as SQL says it, with names inside it quoted."""
+    if isinstance(t, T.ArrayType | T.MapType | T.StructType):
+        return spark._jvm.org.apache.spark.sql.types.DataType.fromJson(t.json()).sql()
+    return t.simpleString()
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
 

@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from lakespan.sources.bridge import IS_SET, Bridge
+from lakespan.sources.bridge import IS_SET, MAX_LENGTH, Bridge
 from lakespan.sources.errors import ExternalTableError, MergeError, OptionError, SchemaError, TableStateError, ToleranceError
 from lakespan.sources.options import parse
 
@@ -141,3 +141,123 @@ def test_stream_of_upserts(spark, b, at, tmp_path):
     q = upsert_batches(spark.readStream.schema("k long, v string").parquet(str(tmp_path / "in")), at, "k").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert rows(b.read(table=at)) == [(1, "b"), (2, "c")]
+
+
+def left_over(spark):
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith(("lakespan_staged_", "lakespan_new_", "lakespan_old_", "lakespan_probe_"))]
+
+
+def test_a_table_overwritten_by_its_own_rows(spark, b, at):
+    b.write(spark.range(10), "append", table=at)
+    for truncate in ("false", "true"):
+        b.write(b.read(table=at).where("id > 3"), "overwrite", table=at, truncate=truncate)
+        assert b.read(table=at).count() == 6
+    assert not left_over(spark)
+
+
+@pytest.mark.parametrize("options", [{}, {"truncate": "true"}, {"target_table_sql": "CREATE TABLE {at} (id BIGINT NOT NULL)"}])
+def test_a_failed_overwrite_leaves_the_old_rows(spark, b, at, options):
+    b.write(spark.range(3), "append", table=at)
+    options = {k: v.format(at=at) for k, v in options.items()}
+    with pytest.raises(ToleranceError):  # nothing is copied
+        b.write(b.read(table=at).where("id < 0"), "overwrite", table=at, **options)
+    with pytest.raises(Exception, match="(?i)divide|division"):
+        b.write(b.read(table=at).selectExpr("id / (id - 1) as id"), "overwrite", table=at, **options)
+    assert rows(b.read(table=at)) == [(0,), (1,), (2,)] and not left_over(spark)
+
+
+def test_a_failed_load_keeps_its_rejects_and_no_table(spark, b, at):
+    df = spark.createDataFrame([(1,), (None,)], "i int")
+    with pytest.raises(ToleranceError) as e:
+        b.write(df, "append", table=at, target_table_sql=f"CREATE TABLE {at} (i INT NOT NULL)")
+    assert rows(spark.table(e.value.rejects)) == [(None, "null in i")] and not b.exists(table=at) and not left_over(spark)
+
+
+def test_not_null_in_any_ddl(spark, b, at):
+    sql = f"CREATE TABLE {at} (a ARRAY<INT> NOT NULL, `b c` DECIMAL(5, 2) NOT NULL COMMENT 'x, y', c LONG VARCHAR(3))"
+    df = spark.createDataFrame([([1], "1.5", "abc"), (None, "1", "a"), ([2], None, "a"), ([3], "3", "abcd")], "a array<int>, b string, c string")
+    done = b.write(df.selectExpr("a", "cast(b as decimal(5,2)) as `b c`", "c"), "append", table=at, target_table_sql=sql, failed_rows_percent_tolerance=0.8)
+    assert (done["copied"], done["rejected"]) == (1, 3)
+    for sql in ("CREATE TABLE other_name (i INT)", "DROP TABLE x", "CREATE TABLE (", f"CREATE TABLE {at}x AS SELECT 1 AS i"):
+        with pytest.raises(TableStateError):
+            b.write(spark.range(1), "append", table=at + "x", target_table_sql=sql)
+
+
+def test_truncate_keeps_what_the_table_is(spark, b, at):
+    df = spark.createDataFrame([(1, [1, 1]), (2, [2])], "k int, s array<int>").withMetadata("s", {IS_SET: True})
+    b.write(df, "append", table=at, array_length=2)
+    spark.sql(f"ALTER TABLE {at} SET TBLPROPERTIES ('owner_of_it' = 'a''b')")
+    b.write(df, "overwrite", table=at, truncate="true")
+    assert b.rules(table=at)["items"] == {"s": 2} and b.rules(table=at)["sets"] == ["s"]
+    assert "owner_of_it" in {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {at}").collect()}
+
+
+@pytest.mark.parametrize("name", ['"a b;c"', "t$é", '"x""y.z"', "plain_x41_"])
+def test_table_names(spark, b, at, name):
+    b.drop(table=name)
+    b.write(spark.range(2), "append", table=name)
+    assert b.read(table=name).count() == 2 and b.exists(table=name)
+    assert name.strip('"').replace('""', '"') in b.tables()
+    b.rename(f'"{at} new"', table=name)
+    assert not b.exists(table=name) and b.read(table=f'"{at} new"').count() == 2
+
+
+def test_large_sources_merge_alike(spark, monkeypatch):
+    from lakespan.operators import merge as m
+
+    t = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "c", 7), (None, "n", 8)], "k int, `v.w` string, z int")
+    s = spark.createDataFrame([(1, "new"), (3, None), (None, "m")], "K int, `v.w` string")
+    small = rows(m.merge(t, s, ["k"]))
+    monkeypatch.setattr(m, "MOST_SENT", -1)
+    assert rows(m.merge(t, s, ["k"])) == small == sorted([(1, "new", 5), (1, "new", 6), (2, "c", 7), (None, "n", 8), (3, None, None), (None, "m", None)], key=str)
+
+
+def test_partitioned_folders(spark, b, at, tmp_path):
+    folder = str(tmp_path / "it's")
+    spark.createDataFrame([(1, "x", 7), (2, "y", 8)], "a int, s string, p int").write.partitionBy("p").parquet(folder)
+    for known in ("foo int", ""):
+        with pytest.raises(ExternalTableError):
+            b.write(spark.createDataFrame([], known or "c int").select(*([] if not known else ["foo"])), table=at, create_external_table="existing-data", staging_fs_url=folder)
+    assert not b.exists(table=at) and not left_over(spark)
+    b.write(spark.createDataFrame([], "p string"), table=at, create_external_table="existing-data", staging_fs_url=folder)
+    assert rows(b.read(table=at)) == [(1, "x", "7"), (2, "y", "8")]
+    plan = b.read(table=at).where("p = '7'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan
+
+
+def test_status_of_jobs(spark, b, at):
+    b.write(spark.range(1), "append", table=at, save_job_status_table="true")
+    with pytest.raises(ToleranceError):
+        b.write(spark.range(0), "append", table=at, save_job_status_table="true")
+    assert rows(b.job_status().where(F.col("target") == at).select("failed_rows_percent", "success", "phase")) == [(0.0, True, "ended"), (1.0, False, "ended")]
+
+
+def test_json_guard_and_times(spark, b, at):
+    df = spark.sql("select 1 as k, timestamp_ntz'1500-01-01 00:00:00.123456' as t, timestamp'2024-03-31 01:30:00.5Z' as z, map('a', binary('x')) as m")
+    with pytest.raises(SchemaError):
+        Bridge(spark)._by_json(df, parse({"table": "x", "json": "true"}))
+    b.write(df.drop("m"), "append", table=at)
+    assert rows(b.read(table=at, json="true")) == rows(df.drop("m"))
+
+
+def test_reads_prune_columns_nested_ones_and_rows(spark, b, at):
+    b.write(spark.range(5).selectExpr("id", "named_struct('a', id, 'b', cast(id as string)) s", "id * 2 as other"), "append", table=at)
+    plan = b.read(table=at).where("id > 2").select("s.a")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint,s:struct<a:bigint>>" in plan and "GreaterThan(id,2)" in plan
+
+
+def test_greatest_files(spark, b, at, tmp_path):
+    df = spark.range(300_000).selectExpr("id", "id as a", "id as b").coalesce(1)
+    b.write(df, table=at, create_external_table="new-data", staging_fs_url=str(tmp_path / "f"), max_file_size_export_mb=1)
+    assert len(list((tmp_path / "f").glob("*.parquet"))) > 3
+
+
+def test_asof_and_range_over_stretches(spark):
+    from lakespan.operators.ranges import asof_join, range_join
+
+    left = spark.createDataFrame([(1, 5), (1, 1000), (1, 0), (2, 7), (None, 3)], "k int, at long")
+    right = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 999, "c"), (1, 1, "z"), (2, 8, "d"), (None, 1, "n")], "k int, at long, v string")
+    for width in (1, 10, 10**6):
+        assert rows(asof_join(left, right, "k", "at", width, ["v"])) == sorted([(1, 5, "b"), (1, 1000, "c"), (1, 0, None), (2, 7, None), (None, 3, None)], key=str)
+    points, spans = spark.createDataFrame([(1.5,), (-3.0,), (None,)], "x double"), spark.createDataFrame([(1.0, 2.0, "a"), (-3.0, 1.5, "b"), (4.0, 3.0, "c"), (None, 9.0, "d")], "lo double, hi double, n string")
+    assert rows(range_join(points, spans, "x", "lo", "hi", 0.7).select("x", "n")) == [(-3.0, "b"), (1.5, "a"), (1.5, "b")]

@@ -5,6 +5,8 @@ import pytest
 from lakespan.plans.registry import ORACLE_SQL, QUERIES
 from tests.oracle import rows_in_sql, rows_of
 
+#: A query whose result is empty by intent, and three that have rows on larger tables only.
+EMPTY = {"scan_empty", "filter_date", "join_range", "join_theta"}
 SF = "/root/testdata/sf0.001"
 
 
@@ -17,6 +19,7 @@ def test_query(spark, name):
     got, want = rows_of(df), rows_in_sql(ORACLE_SQL[name], SF)
     assert got[0] == want[0]
     assert got[1] == want[1]
+    assert got[1] or name in EMPTY
 
 
 def test_entry(spark):
