@@ -6,12 +6,14 @@ Viterbi pass with a switching penalty then labels spans of words, so mixed texts
 
 Defined cases: null, empty or letterless text is ``und`` with score 0 and no spans; null labels are
 not learnt from; repeated rows get equal predictions; ties go to the language first in order; with no
-labelled text at all everything is ``und``. Whole texts are read, whatever their length.
+labelled text at all everything is ``und``. A letter is what Unicode calls one: digits and numbers aren't. Whole
+texts are read, whatever their length. Input columns named like those of the result give way to them.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakespan.llm.columns import without
+
 UND = "und"
 BUCKETS = 1 << 16
 #: Expected most documents that a model is learnt from.
@@ -41,9 +45,20 @@ _KINDS = np.array([0] + [x for _, _, s in SCRIPTS for x in (s, 0)])
 _NOT_LETTER = re.compile(r"[^\w\s]|[\d_]")
 
 
+def _numbers() -> re.Pattern:
+    r"""Numbers such as ½ and ① that aren't digits: \w takes them as well as letters."""
+    at = [i for i in range(128, sys.maxunicode + 1) if chr(i).isalnum() and not chr(i).isalpha() and not chr(i).isdecimal()]
+    cuts = [0, *(k for k in range(1, len(at)) if at[k] != at[k - 1] + 1), len(at)]
+    return re.compile("[" + "".join(f"{chr(at[a])}-{chr(at[b - 1])}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)) + "]")
+
+
+_NUMBER = _numbers()
+
+
 def letters(text: str) -> str:
     """Lower case, only letters and white space."""
-    return _NOT_LETTER.sub("", text.lower())
+    text = _NOT_LETTER.sub("", text.lower())
+    return text if text.isascii() else _NUMBER.sub("", text)
 
 
 def script_of(points: np.ndarray) -> np.ndarray:
@@ -138,7 +153,7 @@ def viterbi(docs: list[np.ndarray], scores: np.ndarray, switch: np.float32) -> l
     sizes = np.array([len(docs[i]) for i in order] or [0])
     longest = int(sizes[0])
     if not longest:
-        return [np.zeros(0, np.int8) for _ in docs]
+        return [np.zeros(0, np.int16) for _ in docs]
     active = np.searchsorted(-sizes, -np.arange(longest), "left")  # documents with more than t words
     begin = np.concatenate([[0], np.cumsum(active)])
     flat = np.empty(begin[-1], np.int32)  # word ids by time, then document
@@ -146,10 +161,10 @@ def viterbi(docs: list[np.ndarray], scores: np.ndarray, switch: np.float32) -> l
         if len(docs[i]):
             flat[begin[: len(docs[i])] + k] = docs[i]
     n_states = scores.shape[1]
-    jump = np.empty(len(flat), np.int8)  # the best state before each word, for those that switch
+    jump = np.empty(len(flat), np.int16)  # the best state before each word, for those that switch
     stays = np.empty((len(flat), n_states), bool)
     v = np.zeros((active[0], n_states), np.float32)
-    final = np.empty(active[0], np.int8)
+    final = np.empty(active[0], np.int16)
     for t in range(longest):
         n = active[t]
         if n < len(v):
@@ -161,8 +176,8 @@ def viterbi(docs: list[np.ndarray], scores: np.ndarray, switch: np.float32) -> l
         jump[begin[t] : begin[t + 1]], stays[begin[t] : begin[t + 1]] = best, stay
         v = np.where(stay, v, -switch) + scores[flat[begin[t] : begin[t + 1]]]
     final[: len(v)] = v.argmax(1)
-    path = np.empty(len(flat), np.int8)
-    state = np.empty(0, np.int8)
+    path = np.empty(len(flat), np.int16)
+    state = np.empty(0, np.int16)
     for t in range(longest - 1, -1, -1):
         n = active[t]
         if n > len(state):
@@ -181,10 +196,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
     The counts that reach the driver are bounded by BUCKETS x languages.
     """
-    have = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"), F.col(key).alias("k"))
-    n = have.select("l").count()
+    have = docs.where(F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"), F.col(key).alias("k"))
+    n = have.select("l").count()  # reads no text; rows without one only make the sample a little smaller
     if n > sample_docs:
-        have = have.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < F.lit(int(1e6 * sample_docs / n) + 1))
+        have = have.where(F.pmod(F.xxhash64("k"), F.lit(1 << 48)) < F.lit(int((1 << 48) * sample_docs / n)))
+    have = have.where("t is not null")
 
     def count(batches):
         seen: dict[str, np.ndarray] = {}
@@ -242,6 +258,7 @@ SPANS = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), (
 
 def identify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, ...] = ("lang_pred", "score", "spans", "confidence"), switch: float = SWITCH) -> DataFrame:
     """docs, and four columns: the language, its share of the letters, the spans of words, and the confidence."""
+    docs = without(docs, *names)
     at = docs.columns.index(text)
 
     def run(batches):
@@ -287,4 +304,4 @@ def keep_identified(spark: SparkSession, docs: DataFrame, least: float = LEAST_S
     other languages or none, and mixtures without a clear majority, go."""
     model = fit(docs.select("doc_id", "text", "lang"))
     out = identify(docs, model, names=("__lang_pred", "__lang_score", "__lang_spans", "__lang_sure"))
-    return out.where((F.col("__lang_pred") != UND) & (F.col("__lang_score") >= least) & (F.col("__lang_sure") >= sure)).select(*docs.columns)
+    return out.where((F.col("__lang_pred") != UND) & (F.col("__lang_score") >= least) & (F.col("__lang_sure") >= sure)).drop("__lang_pred", "__lang_score", "__lang_spans", "__lang_sure")

@@ -9,7 +9,7 @@ The fit reads a bounded sample of labelled rows (SAMPLE_ROWS expected), in one t
 all rows. Defined cases: null and empty texts have no feature and get the score of a zero margin plus bias;
 null labels are not learnt from; a document with several labels counts once for each; with one class or no
 label at all every score is the share of label 1 (0.5 without labels); repeated rows get equal scores.
-Whole texts are read, whatever their length.
+Whole texts are read, whatever their length. An input column named like the result's gives way to it.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakespan.llm.columns import without
 from lakespan.llm.words import raw_texts, word_hashes
 
 BITS = 16
@@ -140,7 +141,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
     have = labelled.where(F.col(label).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), (F.col(label) > 0).cast("int").alias("y"))
     n = have.select("y").count()
     if n > sample_rows:
-        have = have.where(F.pmod(F.xxhash64("k", F.lit(3)), F.lit(1_000_000)) < F.lit(int(1e6 * sample_rows / n) + 1))
+        have = have.where(F.pmod(F.xxhash64("k", F.lit(3)), F.lit(1 << 48)) < F.lit(int((1 << 48) * sample_rows / n)))
 
     def digest(batches):
         for b in batches:
@@ -168,6 +169,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
 
 def rate(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """docs, and a column with the score of each whole text."""
+    docs = without(docs, name)
     at = docs.columns.index(text)
     names = [f"c{i}" for i in range(len(docs.columns))]
 
@@ -193,7 +195,7 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     labels = labels.where("quality is not null").select("doc_id", "quality")
     n = labels.count()
     if n > sample_rows:
-        labels = labels.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < F.lit(int(1e6 * sample_rows / n) + 1))
+        labels = labels.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 48)) < F.lit(int((1 << 48) * sample_rows / n)))
     # The thinned labels are at most about sample_rows rows of two numbers, so they are sent to every task.
     return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
 
@@ -209,4 +211,4 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame:
     """Documents that score at least least under a model fitted on the labels of docs."""
     model = fit(sample(docs, labels), sample_rows=2 * SAMPLE_ROWS)
-    return rate(docs, model, name="__quality_score").where(F.col("__quality_score") >= least).select(*docs.columns)
+    return rate(docs, model, name="__quality_score").where(F.col("__quality_score") >= least).drop("__quality_score")
