@@ -14,7 +14,9 @@ on full sets.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked with nothing; shorter texts
 than a shingle are one shingle; a null doc_id stays on its own with a null component and is kept; rows that
-repeat a doc_id are judged by their own texts; an empty table gives an empty result.
+repeat a doc_id are judged by their own texts; the least doc_id stands for its component, so ties don't arise but
+between rows that repeat it; whole texts are read, whatever their length; other columns are left out (keep_one keeps
+them all); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lakespan.llm.graph import components
 from lakespan.llm.scratch import Scratch
+from lakespan.llm.skew import hot_from, join_hot, maybe_in, minus
 from lakespan.llm.words import _MIX, U, finish, raw_texts, shingle_set
 
 WORDS, PERCENT = 5, 75
@@ -40,6 +43,8 @@ _BAND = finish(np.arange(1, BANDS + 1, dtype=U))
 LEAST_EQUAL = int(2 * PERMUTATIONS * 0.5)
 #: Leaders of a bucket in each round; the last number holds for all further rounds.
 LEADERS = (2, 8, 32, 128)
+#: Rows of a bucket that a task takes; fuller ones are dealt over several.
+HOT = 1000
 #: 64-bit words of the bitmap that bounds what two sets can share.
 BITMAP = 16
 
@@ -116,6 +121,8 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those pairs (a, b) whose full sets are as similar."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = maybe_in(sets, "cls", wanted, "maybe").where("maybe").drop("maybe")
     both = pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
 
     def run(batches):
@@ -173,26 +180,44 @@ def may_link(n, own, m, other, percent: int):
     return F.lit(100) * same >= F.lit(percent) * (n + m - same)
 
 
+def salted(by_bucket: DataFrame) -> DataFrame:
+    """by_bucket (bucket, salts, ...) once for each salt of its bucket, to meet members on bucket and salt."""
+    return by_bucket.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+
 def unsettled(members: DataFrame, labels: DataFrame, s: Scratch, name: str) -> DataFrame:
-    """members (bucket, cls, ...) with comp, of those buckets that still hold several components."""
+    """members (bucket, salt, salts, cls, ...) with comp, of those buckets that still hold several components."""
     named = labels.select(F.col("u").alias("cls"), F.col("v").alias("comp"))
     now = members.join(named, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    return s.cut(now.join(split, "bucket"), name)
+    split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("salts").alias("salts")).where("lo <> hi").select("bucket", "salts")
+    return s.cut(now.join(salted(split), ["bucket", "salt"]), name)
+
+
+def first_of(rows: DataFrame, order: list, most: int) -> DataFrame:
+    """The first rows of each bucket: those of each salt, then of these."""
+    for by in (("bucket", "salt"), ("bucket",)):
+        rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("r") <= most)
+    return rows.drop("r")
+
+
+MEMBER = ("bucket", "salt", "salts", "cls", "n", "own", "bits")
 
 
 def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
     s = Scratch(docs.sparkSession, "minhash")
     sig = s.cut(signatures(docs, words), "sig")
-    ids = sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("min_id"))
+    ids = sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("min_id"), F.count("*").alias("copies"))
     classes = s.cut(sig.where("cls is not null and doc_id is not null").select("cls", "n", "sketch", "bands").dropDuplicates(["cls"]), "classes")
     rows = classes.select("cls", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    members = s.cut(rows.join(shared, "bucket"), "members")
+    salts = F.ceil(F.col("m") / F.lit(HOT)).cast("int")
+    members = s.cut(rows.join(shared, "bucket").select("bucket", "cls", "m", salts.alias("salts"), F.pmod(F.xxhash64("cls"), salts).cast("int").alias("salt")), "members")
 
     met = members.select("cls").distinct().join(ids, "cls").select("cls", F.col("min_id").alias("id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(met, "id").select("cls", "text")
+    own_texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    # Texts that meet no other aren't shuffled, but for those that the filter can't tell from them.
+    texts = maybe_in(own_texts, "id", met, "maybe").where("maybe").join(met, "id").select("cls", "text")
     sets = s.cut(shingles_of(texts, words), "sets")
 
     # First round: each class meets one other, the best known of those it shares a bucket with. An original
@@ -203,7 +228,7 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     pairs = hub.where("cls <> hub").select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b")).distinct()
     tried = s.cut(plausible(pairs, classes, percent), "tried-0")
     labels = components(s.cut(confirmed(tried, sets, percent), "edges-0").toDF("u", "v"), s, "cc-0")  # (class, least class of its component)
-    left = unsettled(members.select("bucket", "cls"), labels, s, "open-1").drop("comp")
+    left = unsettled(members.select("bucket", "salt", "salts", "cls"), labels, s, "open-1").drop("comp")
     if not left.isEmpty():
         there = left.select("cls").distinct()
         own = there.join(classes.select("cls", "n"), "cls").join(own_shingles(sets.join(there, "cls", "left_semi")), "cls", "left")
@@ -213,24 +238,26 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     while not left.isEmpty():
         i += 1
         # A class that can't be similar to any set as large as the bucket's smallest has no link to lose there.
-        least = left.groupBy("bucket").agg(F.min("n").alias("least"))
+        least = left.groupBy("bucket").agg(F.min("n").alias("least"), F.max("salts").alias("salts"))
         near = F.greatest("least", F.col("n") - F.col("own"))
         fit = F.lit(100) * (F.col("n") - F.col("own")) >= F.lit(percent) * (near + F.col("own"))
         # Written before what reads it twice, so no round computes the joins of an earlier one again.
-        fitted = s.cut(left.join(least, "bucket").where(fit).select("bucket", "cls", "n", "own", "bits"), f"fit-{i}")
+        fitted = s.cut(left.join(salted(least), ["bucket", "salt"]).where(fit).select(*MEMBER), f"fit-{i}")
         left = unsettled(fitted, labels, s, f"left-{i}")
         s.drop(f"fit-{i}", "measured" if i == 1 else f"rest-{i - 1}")
         if left.isEmpty():
             break
         # The least edited classes lead first. Then the classes of the smaller components do: once they have,
         # what is left is one component.
-        sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
-        first = [F.col("own") / F.col("n"), F.col("cls")] if i == 1 else [F.col("m"), F.col("cls")]
-        ranked = left.join(sizes, ["bucket", "comp"]).withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy(*first)))
-        lead = s.cut(ranked.where(F.col("r") <= LEADERS[min(i, len(LEADERS)) - 1]).select("bucket", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo"), F.col("bits").alias("lb")), f"lead-{i}")
+        if i == 1:
+            ranked = first_of(left, [F.col("own") / F.col("n"), F.col("cls")], LEADERS[0])
+        else:
+            sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"), F.max("salts").alias("salts"))
+            ranked = first_of(left.join(salted(sizes), ["bucket", "comp", "salt"]), [F.col("m"), F.col("cls")], LEADERS[min(i, len(LEADERS)) - 1])
+        lead = s.cut(ranked.select("bucket", "salts", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo"), F.col("bits").alias("lb")), f"lead-{i}")
         may = (F.col("comp") != F.col("lc")) & may_link(F.col("n"), F.col("own"), F.col("ln"), F.col("lo"), percent)
         may &= F.lit(100 + percent) * overlap_bound(F.col("n"), "bits", F.col("ln"), "lb") >= F.lit(percent) * (F.col("n") + F.col("ln"))
-        pairs = left.join(lead, "bucket").where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
+        pairs = left.join(salted(lead), ["bucket", "salt"]).where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
         new = s.cut(plausible(pairs.join(tried, ["a", "b"], "left_anti"), classes, percent), f"tried-{i}")
         edges = s.cut(confirmed(new, sets, percent), f"edges-{i}")
         tried = tried.unionByName(new)
@@ -242,15 +269,17 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
             labels = s.cut(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), f"labels-{i}")
         # Leaders have met everyone in their bucket.
         rest = left.join(lead.select("bucket", F.col("l").alias("cls")), ["bucket", "cls"], "left_anti")
-        left = s.cut(rest.select("bucket", "cls", "n", "own", "bits"), f"rest-{i}")
+        left = s.cut(rest.select(*MEMBER), f"rest-{i}")
         s.drop(f"left-{i}", f"lead-{i}")
 
     comp = ids.join(labels.toDF("cls", "comp"), "cls", "left").select("cls", "min_id", F.coalesce("comp", "cls").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("min_id").alias("component_id"))
     comp = comp.join(least, "comp").select("cls", "component_id")
-    out = sig.select("doc_id", "n", "cls").join(comp, "cls", "left").withColumn("component_id", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")))
-    s.drop("sets", "members")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    # Copies of one text may be a third of all rows: their class's row is sent to them.
+    often = ids.where(F.col("copies") > hot_from(sig.count())).select("cls")
+    out = join_hot(sig.select("doc_id", "n", "cls"), comp, "cls", often, "left")
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")))
+    return s.last(out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,9 +291,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Each row is judged by its own text: a number that is written with it stands for it, and doc_id only says which
     row of a group stays. Of rows that repeat a doc_id, the first one does."""
-    rows = Scratch(docs.sparkSession, "one").cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "rows")
+    s = Scratch(docs.sparkSession, "one")
+    rows = s.cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "rows")
     own = cluster(rows.select(F.col("__uid").alias("doc_id"), "text")).select(F.col("doc_id").alias("__own"), "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("__uid"))
     ids = rows.select("__uid", order.alias("order"))
-    stay = own.join(ids, own["__own"] == ids["__uid"]).groupBy("component_id").agg(F.min("order")["__uid"].alias("__stays")).select("__stays")
-    return rows.join(stay, rows["__uid"] == stay["__stays"], "left_semi").drop("__uid")
+    # Only rows of groups of several are looked at again; all others stay where they are.
+    several = own.groupBy("component_id").agg(F.count("*").alias("c")).where("c > 1").select("component_id")
+    grouped = own.join(several, "component_id", "left_semi")
+    stay = grouped.join(ids, own["__own"] == ids["__uid"]).groupBy("component_id").agg(F.min("order")["__uid"].alias("__own"))
+    gone = grouped.join(stay, "__own", "left_anti").select(F.col("__own").alias("__uid"))
+    return minus(rows, "__uid", s.cut(gone, "gone")).drop("__uid")
