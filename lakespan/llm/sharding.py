@@ -1,7 +1,8 @@
 """Sharding by balanced label propagation, with DataFrame operations only.
 
-Documents of equal texts are linked. Groups too large for one shard are broken into parts of a bounded size
-first, so no part outgrows a shard. Labels start at a hash; then, round after round, a join tells every linked
+Documents of equal texts are linked. Groups too large for one shard are broken into parts of half a shard
+first, so no part outgrows a shard; smaller groups are one part. Rows of groups and parts that may fill a task are met
+by broadcasting what is joined to them, whose number of rows is bounded; the others are shuffled. Labels start at a hash; then, round after round, a join tells every linked
 document which shard most of its neighbours are in, and whole parts move there as far as the shard's quota
 goes: parts are admitted by buckets of a hash, whose sizes are summed per shard. Parts that found no room try
 their next best shard in the next round. A last step evens the shards out exactly: linked documents come
@@ -12,7 +13,9 @@ the bounded table of bucket sizes, so no window spans a shard.
 
 Defined cases: a null text has no bytes, the checksum of an empty text, and is linked with empty texts; rows
 that repeat a doc_id are placed each; a null doc_id is placed like any other; with fewer rows than shards
-some shards stay empty; an empty table gives an empty result.
+some shards stay empty; equal sizes and counts are told apart by hashes, so ties are settled alike in each run; texts
+of any length only give their size, checksum and digest; other columns are left out; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -21,10 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakespan.llm.scratch import Scratch
+from lakespan.llm.skew import hot_from, join_hot
 
 SHARDS, ROUNDS = 8, 4
-#: A shard's rows over the most rows of a part.
+#: A shard's rows over the rows of a part, where a group has more than a shard.
 PARTS = 2
+#: A group of more rows isn't shuffled; from 100,000 times that many rows on, the number rises with the table.
+LARGE = 500
 #: Buckets of admission; their sizes per shard are a table of at most SHARDS x BUCKETS rows.
 BUCKETS = 1024
 #: Rows of a bucket of ranks, and most such buckets for each shard.
@@ -39,14 +45,15 @@ def base(docs: DataFrame) -> DataFrame:
 
 
 def propagate(linked: DataFrame, s: Scratch, quota: int, shards: int, rounds: int) -> DataFrame:
-    """(uid, shard) of linked (uid, part): labels after some rounds of propagation."""
-    now = s.cut(linked.select("uid", "part", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int").alias("shard")), "labels-0")
+    """(uid, shard) of linked (uid, part, large): labels after some rounds of propagation. large marks the rows of parts
+    of more rows than a task should take."""
+    now = s.cut(linked.select("uid", "part", "large", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int").alias("shard")), "labels-0")
     for i in range(1, rounds + 1):
         counts = now.groupBy("part", "shard").agg(F.count("*").alias("c"))
         # The neighbours' shard: of all members of a part, the most frequent; from the second round on, a part
         # that is still split over shards may have met a full one, so chance has a say as well.
         lean = F.col("c") + F.when(F.lit(i > 1), F.pmod(F.xxhash64("part", "shard", F.lit(i)), F.lit(97)) / 97.0 * F.col("all") * 0.5).otherwise(F.lit(0.0))
-        whole = counts.groupBy("part").agg(F.sum("c").alias("all"), F.max("c").alias("most"))
+        whole = counts.groupBy("part").agg(F.sum("c").alias("all"), F.max("c").alias("most"))  # a part has a row for each shard here
         best = counts.join(whole, "part").withColumn("lean", lean).groupBy("part").agg(F.max(F.struct("lean", F.xxhash64("part", "shard"), "shard"))["shard"].alias("to"), F.max("all").alias("all"), F.max("most").alias("most"))
         # Room in each shard: its quota less the parts that are whole and stay.
         settled = best.where("most = all").groupBy("to").agg(F.sum("all").alias("held"))
@@ -54,8 +61,11 @@ def propagate(linked: DataFrame, s: Scratch, quota: int, shards: int, rounds: in
         sums = asks.groupBy("to", "bucket").agg(F.sum("all").alias("rows"))
         run = Window.partitionBy("to").orderBy("bucket")
         open_ = sums.withColumn("upto", F.sum("rows").over(run)).join(settled, "to", "left").where(F.col("upto") + F.coalesce("held", F.lit(0)) <= quota).select("to", "bucket")
-        moves = asks.join(open_, ["to", "bucket"]).select("part", "to")
-        now = s.cut(now.join(moves, "part", "left").select("uid", "part", F.coalesce("to", "shard").alias("shard")), f"labels-{i}")
+        moves = s.cut(asks.join(F.broadcast(open_), ["to", "bucket"]).select("part", "to"), f"moves-{i}")
+        theirs = now.where("large").select("part").distinct()
+        few = now.where("large").join(F.broadcast(moves.join(F.broadcast(theirs), "part", "left_semi")), "part", "left")
+        many = now.where("not large").join(moves, "part", "left")
+        now = s.cut(few.unionByName(many).select("uid", "part", "large", F.coalesce("to", "shard").alias("shard")), f"labels-{i}")
         s.drop(f"labels-{i - 1}")
         if now.groupBy("part").agg(F.min("shard").alias("a"), F.max("shard").alias("b")).where("a <> b").isEmpty():
             break
@@ -109,15 +119,16 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     s = Scratch(docs.sparkSession, "sharding")
     rows = s.cut(base(docs), "base")
     n = rows.count()
-    most = max(1, n // shards // PARTS)
-    groups = rows.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
-    parts = F.ceil(F.col("c") / F.lit(most))
-    linked = rows.select("uid", "g").join(groups, "g").select("uid", F.xxhash64("g", F.pmod(F.xxhash64("uid", F.lit(1)), parts)).alias("part"))
-    labels = propagate(s.cut(linked, "linked"), s, -(-n // shards), shards, rounds)
+    quota, large = -(-n // shards), hot_from(n, LARGE)
+    groups = s.cut(rows.groupBy("g").agg(F.count("*").alias("c")).where("c > 1"), "groups")
+    parts = F.when(F.col("c") <= quota, F.lit(1)).otherwise(F.ceil(F.col("c") * PARTS / F.lit(quota)))
+    met = join_hot(rows.select("uid", "g"), groups, "g", groups.where(F.col("c") > large))
+    linked = met.select("uid", F.xxhash64("g", F.pmod(F.xxhash64("uid", F.lit(1)), parts)).alias("part"), (F.col("c") > large).alias("large"))
+    labels = propagate(s.cut(linked, "linked"), s, quota, shards, rounds)
     all_ = rows.select("uid").join(labels.select("uid", F.col("shard").alias("own")), "uid", "left")
     placed = all_.select("uid", F.coalesce("own", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")).alias("shard"), F.when(F.col("own").isNull(), 1).otherwise(0).alias("rank_key"))
     even = level(placed, s, n, shards)
-    return rows.join(even, "uid").select("doc_id", "size", "text_crc32", "shard", "slot")
+    return s.last(rows.join(even, "uid").select("doc_id", "size", "text_crc32", "shard", "slot"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
