@@ -95,18 +95,30 @@ def test_warc(spark, docs, none):
 
 
 def test_warc_payloads_that_end_like_records(spark):
-    ends = ["\r\n", "\r\n\r\n", "\r\n\r\n\r\n", "\r", "\n", "\r\n\r", "\r\nWARC/1.1\r\n\r\n"]
-    texts = {i: ("x" * 1200 if i % 2 else "") + f"abc{i // 4}" + end for i, end in enumerate(e for e in ends for _ in range(4))} | {99: "\r\n", 100: "\r\n\r\n"}
-    pages = spark.createDataFrame([(i, "u", t) for i, t in texts.items()], "page_id long, url string, html string")
-    for parts in (1, 4, 30):  # whichever record comes last in a file
-        rows = warc.read(spark, warc.write(pages.repartition(parts), Scratch(spark, "w")), payloads=True).collect()
+    """Any ends, long ones, null bytes: files, index and store give the same bytes."""
+    import gzip
+
+    ends = ["\r\n", "\r\n\r\n", "\r\n\r\n\r\n", "\r", "\n", "\r\n\r", "\r\nWARC/1.1\r\n\r\n", "\0\0"]
+    texts = {i: ("x" * 1200 if i % 2 else "") + f"abc{i // 4}" + end for i, end in enumerate(e for e in ends for _ in range(4))} | {99: "\r\n", 100: "\r\n\r\n", 101: "é<p>" * 9_000_000, 102: ""}
+    pages = spark.createDataFrame([(i, "u", t) for i, t in texts.items()], "page_id long, url string, html string").withColumn("payload", F.lit(1)).withColumn("header", F.lit(1))
+    for parts in (1, 30):  # whichever record comes last in a file
+        at = warc.write(pages.repartition(parts), Scratch(spark, "w"), file_bytes=1000 * parts)
+        rows = warc.read(spark, at, payloads=True).collect()
         assert sorted(r.page_id for r in rows) == sorted(texts)
         assert all(bytes(r.payload).decode() == texts[r.page_id] for r in rows if r.record_type == "response")
         assert {r.page_id for r in rows if r.record_type == "response"} > {99, 100}
-    with pytest.raises(ValueError):
-        list(warc.parse([b"WARC/1.1\r\nWARC-Record-ID: x\r\nContent-Length: 3", b"abcd"]))
-    with pytest.raises(ValueError):
-        list(warc.parse([b"WARC/1.1\r\nWARC-Record-ID: x\r\nContent-Length: 9", b"abcd"]))
+        assert {r.page_id: bytes(r.payload).decode() for r in warc.reconstruct(spark, at).collect()} == texts
+    folder = at.removeprefix("file:")
+    for r in spark.read.parquet(f"{at}/index").collect():
+        with open(f"{folder}/warc/{r.file}", "rb") as f:
+            f.seek(r.offset)
+            record = gzip.decompress(f.read(r.length))  # one member is one record
+        assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n") and f"<urn:page:{r.page_id}>".encode() in record.split(b"\r\n\r\n")[0]
+    kept = spark.read.parquet(f"{at}/payloads")
+    assert kept.count() == kept.select("payload").distinct().count() == len(set(texts.values()))
+    for broken in ([b"WARC/1.1\r\nWARC-Record-ID: x\r\nContent-Length: 3\r\n\r\nabcd\r\n\r\n"], [b"WARC/1.1\r\nWARC-Record-ID: x\r\nContent-Length: 9\r\n\r\nabcd"], [b"WARC/1.1\r\nContent"], [b"x\r\n\r\n"]):
+        with pytest.raises(ValueError):
+            list(warc.parse(broken))
 
 
 def test_packing(docs, none):
