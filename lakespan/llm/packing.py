@@ -3,12 +3,15 @@
 Documents become token ids with a closing id; only those longer than a sequence are cut, into full pieces with
 the shorter one first. Full pieces are sequences by themselves. All other pieces are dealt into blocks of a
 bounded number of pieces. For each block, islands evolve their own populations of packings: crossover injects
-whole well-filled bins of one parent into the other, removes bins that hold the same pieces, and best-fits the
-displaced ones, the longest first. Between epochs elites migrate to the next island through a shuffle. The best
-packing of each block is taken. Only lengths take part in this; a block's state is bounded by BLOCK.
+whole well-filled bins of one parent into the other, removes bins that hold the same pieces and the emptiest bins of the
+other parent, lets displaced pieces take the place of shorter ones in bins with room, and best-fits the rest, the
+longest first. Between epochs elites migrate to the next island through a shuffle. The best packing of each block is
+taken. A block whose packing meets a lower bound is done, so only hard blocks take the time. Only lengths take part in
+this; a block's state is bounded by BLOCK.
 
 Defined cases: a null text is empty, so its only id is the closing one; rows that repeat a document are packed
-each; ties of packings go to the lower island; an empty table gives no pieces. Whole texts are tokenised.
+each; ties of packings go to the lower island; an empty table gives no pieces; other columns are left out. Whole texts
+are tokenised.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from bisect import bisect_right, insort
 
 import numpy as np
 import pandas as pd
@@ -28,7 +32,11 @@ from lakespan.llm.scratch import Scratch
 SEQUENCE = 2048
 #: Expected pieces of a block.
 BLOCK = 6_000
-ISLANDS, POPULATION, EPOCHS, CHILDREN = 2, 3, 2, 5
+ISLANDS, POPULATION, EPOCHS, CHILDREN = 2, 4, 3, 100
+#: An island's epoch ends after so many children in a row that are no better than their elite.
+PATIENCE = 25
+#: Share of the better half of a parent's bins that is injected, share of bins that are emptied, and bins that are refined.
+INJECTED, EMPTIED, REFINED = 1 / 8, 0.05, 800
 #: Ranks of the vocabulary, and the file that also names its added tokens.
 VOCABULARY, ADDED = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
@@ -124,15 +132,35 @@ def seed_packing(sizes: np.ndarray, most: int, rng: np.random.Generator, noise:
     return where
 
 
+def refine(sizes: list[int], where: np.ndarray, gaps: list[int], loose: list[int], rng: np.random.Generator, tries: int = REFINED) -> list[int]:
+    """Give bins with room the longest loose item that fits in place of a shorter one; what is loose then, from long to
+    short. Changes where and gaps."""
+    pool = sorted((sizes[i], i) for i in loose)
+    order = np.argsort(where, kind="stable")
+    starts = np.searchsorted(where[order], np.arange(len(gaps) + 1))
+    room = np.flatnonzero(gaps)
+    for b in rng.permutation(room)[:tries].tolist():
+        for out in order[starts[b] : starts[b + 1]].tolist():
+            at = bisect_right(pool, (sizes[out] + gaps[b], len(sizes))) - 1
+            if at >= 0 and pool[at][0] > sizes[out]:
+                size, i = pool.pop(at)
+                where[i], where[out] = b, -1
+                gaps[b] -= size - sizes[out]
+                insort(pool, (sizes[out], out))
+                break
+    return [i for _, i in reversed(pool)]
+
+
 def crossover(sizes: np.ndarray, one: np.ndarray, two: np.ndarray, most: int, rng: np.random.Generator) -> np.ndarray:
     """A child: bins of two that are well filled go whole into one."""
     fill = np.bincount(two, sizes)
     well = np.flatnonzero(fill >= np.quantile(fill[fill > 0], 0.5))
     take = np.zeros(len(fill), bool)
-    take[rng.choice(well, max(1, len(well) // 4), replace=False)] = True
+    take[rng.choice(well, max(1, int(len(well) * INJECTED)), replace=False)] = True
     injected = take[two]
     hit = np.zeros(one.max() + 1, bool)
     hit[one[injected]] = True  # these bins hold a piece that comes in with another bin
+    hit[np.argsort(np.bincount(one, sizes), kind="stable")[: max(2, int(len(hit) * EMPTIED))]] = True
     displaced = hit[one] & ~injected
     kept = ~injected & ~displaced
     child = np.full(len(sizes), -1, np.int64)
@@ -142,21 +170,38 @@ def crossover(sizes: np.ndarray, one: np.ndarray, two: np.ndarray, most: int, rn
     child[injected] = first + new
     placed = child >= 0
     gaps = (most - np.bincount(child[placed], sizes[placed]).astype(np.int64)).tolist()
-    best_fit(sizes.tolist(), np.flatnonzero(displaced).tolist(), gaps, child, most)
+    plain = sizes.tolist()
+    loose = refine(plain, child, gaps, np.flatnonzero(displaced).tolist(), rng)
+    best_fit(plain, loose, gaps, child, most)
     return child.astype(np.int32)
 
 
+def least_bins(sizes: np.ndarray, most: int) -> int:
+    """No packing has fewer bins: all lengths together, or pieces over half a bin with what can't go beside them."""
+    bound = -(-int(sizes.sum()) // most)
+    large = np.sort(sizes[2 * sizes > most])
+    for k in np.unique(sizes[2 * sizes <= most])[:: max(1, len(sizes) // 64)]:
+        alone = len(large) - np.searchsorted(large, most - k, "right")  # too long for a piece of k or more
+        beside = large[large <= most - k]
+        small = int(sizes[(sizes >= k) & (2 * sizes <= most)].sum())
+        bound = max(bound, alone + len(beside) + max(0, -(-(small - int((most - beside).sum())) // most)))
+    return max(bound, len(large))
+
+
 def evolve(sizes: np.ndarray, population: list[np.ndarray], most: int, rng: np.random.Generator, keep: int = POPULATION, children: int = CHILDREN) -> list[np.ndarray]:
     """The best of a population and its children; sizes go from long to short."""
-    ranked = sorted(population, key=lambda w: -fitness(sizes, w, most))
-    bound = -(-int(sizes.sum()) // most)
-    for _ in range(children):
-        if len(ranked) < 2 or int(ranked[0].max()) + 1 <= bound:
+    score = lambda w: -fitness(sizes, w, most)
+    ranked, stale = sorted(((score(w), i, w) for i, w in enumerate(population)), key=lambda x: x[:2]), 0
+    bound = least_bins(sizes, most)
+    for n in range(children):
+        if len(ranked) < 2 or stale >= PATIENCE or int(ranked[0][2].max()) + 1 <= bound:
             break
         i, j = rng.choice(len(ranked), 2, replace=False)
-        child = crossover(sizes, ranked[i], ranked[j], most, rng)
-        ranked = sorted([*ranked, child], key=lambda w: -fitness(sizes, w, most))[:keep]
-    return ranked[:keep]
+        child = crossover(sizes, ranked[i][2], ranked[j][2], most, rng)
+        was = ranked[0][0]
+        ranked = sorted([*ranked, (score(child), len(population) + n, child)], key=lambda x: x[:2])[:keep]
+        stale = 0 if ranked[0][0] < was else stale + 1
+    return [w for _, _, w in ranked[:keep]]
 
 
 _CHROMOSOMES = "block long, island int, rank int, fitness double, sizes binary, bins binary"
@@ -210,7 +255,7 @@ def pack(cuts: DataFrame, most: int = SEQUENCE, block: int = BLOCK) -> DataFrame
     columns = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     packed = dealt.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(lambda k, a, b: place(k, a, b)[[c.split()[0] for c in columns.split(", ")]], columns)
     own = full.withColumn("sequence_id", 2 * F.col("uid") + 1).withColumn("offset", F.lit(0).cast("long"))
-    return packed.unionByName(own.drop("uid"))
+    return s.last(packed.unionByName(own.drop("uid")))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
