@@ -45,6 +45,8 @@ LEAST_EQUAL = int(2 * PERMUTATIONS * 0.5)
 LEADERS = (2, 8, 32, 128)
 #: Rows of a bucket that a task takes; fuller ones are dealt over several.
 HOT = 1000
+#: What has at most so many rows is sent to all tasks rather than shuffled (a few MB; leaders, which are wide, a tenth).
+SENT = 100_000
 #: 64-bit words of the bitmap that bounds what two sets can share.
 BITMAP = 16
 
@@ -121,7 +123,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those pairs (a, b) whose full sets are as similar."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
     sets = maybe_in(sets, "cls", wanted, "maybe").where("maybe").drop("maybe")
     both = pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
 
@@ -180,22 +182,31 @@ def may_link(n, own, m, other, percent: int):
     return F.lit(100) * same >= F.lit(percent) * (n + m - same)
 
 
+def sent(df: DataFrame, rows: int, most: int = SENT) -> DataFrame:
+    """df to be broadcast, if it has so few rows that it may be."""
+    return F.broadcast(df) if rows <= most else df
+
+
 def salted(by_bucket: DataFrame) -> DataFrame:
     """by_bucket (bucket, salts, ...) once for each salt of its bucket, to meet members on bucket and salt."""
     return by_bucket.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
 
 
-def unsettled(members: DataFrame, labels: DataFrame, s: Scratch, name: str) -> DataFrame:
-    """members (bucket, salt, salts, cls, ...) with comp, of those buckets that still hold several components."""
+def unsettled(members: DataFrame, labels: DataFrame, s: Scratch, name: str) -> tuple[DataFrame, int]:
+    """members (bucket, salt, salts, cls, ...) with comp, of those buckets that still hold several components, and how
+    many rows that are."""
     named = labels.select(F.col("u").alias("cls"), F.col("v").alias("comp"))
-    now = members.join(named, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    now = s.cut(members.join(sent(named, named.count()), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), f"named-{name}")
     split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("salts").alias("salts")).where("lo <> hi").select("bucket", "salts")
-    return s.cut(now.join(salted(split), ["bucket", "salt"]), name)
+    out = s.cut(now.join(sent(salted(split), now.count()), ["bucket", "salt"]), name)
+    s.drop(f"named-{name}")
+    return out, out.count()
 
 
 def first_of(rows: DataFrame, order: list, most: int) -> DataFrame:
     """The first rows of each bucket: those of each salt, then of these."""
-    for by in (("bucket", "salt"), ("bucket",)):
+    dealt = not rows.where("salts > 1").isEmpty()
+    for by in (("bucket", "salt"), ("bucket",))[not dealt :]:
         rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("r") <= most)
     return rows.drop("r")
 
@@ -207,14 +218,14 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
     s = Scratch(docs.sparkSession, "minhash")
     sig = s.cut(signatures(docs, words), "sig")
-    ids = sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("min_id"), F.count("*").alias("copies"))
+    ids = s.cut(sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("min_id"), F.count("*").alias("copies")), "ids")
     classes = s.cut(sig.where("cls is not null and doc_id is not null").select("cls", "n", "sketch", "bands").dropDuplicates(["cls"]), "classes")
     rows = classes.select("cls", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     salts = F.ceil(F.col("m") / F.lit(HOT)).cast("int")
     members = s.cut(rows.join(shared, "bucket").select("bucket", "cls", "m", salts.alias("salts"), F.pmod(F.xxhash64("cls"), salts).cast("int").alias("salt")), "members")
 
-    met = members.select("cls").distinct().join(ids, "cls").select("cls", F.col("min_id").alias("id"))
+    met = s.cut(members.select("cls").distinct().join(ids, "cls").select("cls", F.col("min_id").alias("id")), "met")
     own_texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     # Texts that meet no other aren't shuffled, but for those that the filter can't tell from them.
     texts = maybe_in(own_texts, "id", met, "maybe").where("maybe").join(met, "id").select("cls", "text")
@@ -228,24 +239,25 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     pairs = hub.where("cls <> hub").select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b")).distinct()
     tried = s.cut(plausible(pairs, classes, percent), "tried-0")
     labels = components(s.cut(confirmed(tried, sets, percent), "edges-0").toDF("u", "v"), s, "cc-0")  # (class, least class of its component)
-    left = unsettled(members.select("bucket", "salt", "salts", "cls"), labels, s, "open-1").drop("comp")
-    if not left.isEmpty():
+    left, n = unsettled(members.select("bucket", "salt", "salts", "cls"), labels, s, "open-1")
+    left = left.drop("comp")
+    if n:
         there = left.select("cls").distinct()
         own = there.join(classes.select("cls", "n"), "cls").join(own_shingles(sets.join(there, "cls", "left_semi")), "cls", "left")
         own = own.select("cls", "n", F.coalesce("own", F.lit(0)).alias("own")).join(bitmaps(sets.join(there, "cls", "left_semi")), "cls")
         left = s.cut(left.join(s.cut(own, "own"), "cls"), "measured")
     i = 0
-    while not left.isEmpty():
+    while n:
         i += 1
         # A class that can't be similar to any set as large as the bucket's smallest has no link to lose there.
         least = left.groupBy("bucket").agg(F.min("n").alias("least"), F.max("salts").alias("salts"))
         near = F.greatest("least", F.col("n") - F.col("own"))
         fit = F.lit(100) * (F.col("n") - F.col("own")) >= F.lit(percent) * (near + F.col("own"))
         # Written before what reads it twice, so no round computes the joins of an earlier one again.
-        fitted = s.cut(left.join(salted(least), ["bucket", "salt"]).where(fit).select(*MEMBER), f"fit-{i}")
-        left = unsettled(fitted, labels, s, f"left-{i}")
+        fitted = s.cut(left.join(sent(salted(least), n), ["bucket", "salt"]).where(fit).select(*MEMBER), f"fit-{i}")
+        left, n = unsettled(fitted, labels, s, f"left-{i}")
         s.drop(f"fit-{i}", "measured" if i == 1 else f"rest-{i - 1}")
-        if left.isEmpty():
+        if not n:
             break
         # The least edited classes lead first. Then the classes of the smaller components do: once they have,
         # what is left is one component.
@@ -253,12 +265,13 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
             ranked = first_of(left, [F.col("own") / F.col("n"), F.col("cls")], LEADERS[0])
         else:
             sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"), F.max("salts").alias("salts"))
-            ranked = first_of(left.join(salted(sizes), ["bucket", "comp", "salt"]), [F.col("m"), F.col("cls")], LEADERS[min(i, len(LEADERS)) - 1])
+            ranked = first_of(left.join(sent(salted(sizes), n), ["bucket", "comp", "salt"]), [F.col("m"), F.col("cls")], LEADERS[min(i, len(LEADERS)) - 1])
         lead = s.cut(ranked.select("bucket", "salts", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo"), F.col("bits").alias("lb")), f"lead-{i}")
         may = (F.col("comp") != F.col("lc")) & may_link(F.col("n"), F.col("own"), F.col("ln"), F.col("lo"), percent)
         may &= F.lit(100 + percent) * overlap_bound(F.col("n"), "bits", F.col("ln"), "lb") >= F.lit(percent) * (F.col("n") + F.col("ln"))
-        pairs = left.join(salted(lead), ["bucket", "salt"]).where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
-        new = s.cut(plausible(pairs.join(tried, ["a", "b"], "left_anti"), classes, percent), f"tried-{i}")
+        pairs = left.join(sent(salted(lead), lead.count(), SENT // 10), ["bucket", "salt"]).where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
+        pairs = s.cut(pairs.join(tried, ["a", "b"], "left_anti"), f"pairs-{i}")
+        new = s.cut(plausible(sent(pairs, pairs.count()), classes, percent), f"tried-{i}")
         edges = s.cut(confirmed(new, sets, percent), f"edges-{i}")
         tried = tried.unionByName(new)
         if not edges.isEmpty():
@@ -268,13 +281,14 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
             moved = labels.join(more, labels.v == more.w, "left").select("u", F.coalesce("to", "v").alias("v"))
             labels = s.cut(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), f"labels-{i}")
         # Leaders have met everyone in their bucket.
-        rest = left.join(lead.select("bucket", F.col("l").alias("cls")), ["bucket", "cls"], "left_anti")
+        rest = left.join(sent(lead.select("bucket", F.col("l").alias("cls")), lead.count()), ["bucket", "cls"], "left_anti")
         left = s.cut(rest.select(*MEMBER), f"rest-{i}")
-        s.drop(f"left-{i}", f"lead-{i}")
+        n = left.count()
+        s.drop(f"left-{i}", f"lead-{i}", f"pairs-{i}")
 
     comp = ids.join(labels.toDF("cls", "comp"), "cls", "left").select("cls", "min_id", F.coalesce("comp", "cls").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("min_id").alias("component_id"))
-    comp = comp.join(least, "comp").select("cls", "component_id")
+    comp = s.cut(comp.join(least, "comp").select("cls", "component_id"), "comp")
     # Copies of one text may be a third of all rows: their class's row is sent to them.
     often = ids.where(F.col("copies") > hot_from(sig.count())).select("cls")
     out = join_hot(sig.select("doc_id", "n", "cls"), comp, "cls", often, "left")
