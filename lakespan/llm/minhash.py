@@ -192,20 +192,18 @@ def salted(by_bucket: DataFrame) -> DataFrame:
     return by_bucket.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
 
 
-def unsettled(members: DataFrame, labels: DataFrame, s: Scratch, name: str) -> tuple[DataFrame, int]:
+def unsettled(members: DataFrame, labels: DataFrame, s: Scratch, name: str, n: int) -> tuple[DataFrame, int]:
     """members (bucket, salt, salts, cls, ...) with comp, of those buckets that still hold several components, and how
-    many rows that are."""
+    many rows that are; there are n members at most."""
     named = labels.select(F.col("u").alias("cls"), F.col("v").alias("comp"))
-    now = s.cut(members.join(sent(named, named.count()), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), f"named-{name}")
+    now = members.join(named, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("salts").alias("salts")).where("lo <> hi").select("bucket", "salts")
-    out = s.cut(now.join(sent(salted(split), now.count()), ["bucket", "salt"]), name)
-    s.drop(f"named-{name}")
+    out = s.cut(now.join(sent(salted(split), n), ["bucket", "salt"]), name)
     return out, out.count()
 
 
-def first_of(rows: DataFrame, order: list, most: int) -> DataFrame:
-    """The first rows of each bucket: those of each salt, then of these."""
-    dealt = not rows.where("salts > 1").isEmpty()
+def first_of(rows: DataFrame, order: list, most: int, dealt: bool) -> DataFrame:
+    """The first rows of each bucket; where buckets are dealt over salts, those of each salt, then of these."""
     for by in (("bucket", "salt"), ("bucket",))[not dealt :]:
         rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("r") <= most)
     return rows.drop("r")
@@ -239,7 +237,9 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     pairs = hub.where("cls <> hub").select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b")).distinct()
     tried = s.cut(plausible(pairs, classes, percent), "tried-0")
     labels = components(s.cut(confirmed(tried, sets, percent), "edges-0").toDF("u", "v"), s, "cc-0")  # (class, least class of its component)
-    left, n = unsettled(members.select("bucket", "salt", "salts", "cls"), labels, s, "open-1")
+    known = members.agg(F.count("*").alias("n"), F.max("salts").alias("salts")).first()
+    dealt = (known["salts"] or 1) > 1
+    left, n = unsettled(members.select("bucket", "salt", "salts", "cls"), labels, s, "open-1", known["n"])
     left = left.drop("comp")
     if n:
         there = left.select("cls").distinct()
@@ -255,23 +255,22 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         fit = F.lit(100) * (F.col("n") - F.col("own")) >= F.lit(percent) * (near + F.col("own"))
         # Written before what reads it twice, so no round computes the joins of an earlier one again.
         fitted = s.cut(left.join(sent(salted(least), n), ["bucket", "salt"]).where(fit).select(*MEMBER), f"fit-{i}")
-        left, n = unsettled(fitted, labels, s, f"left-{i}")
+        left, n = unsettled(fitted, labels, s, f"left-{i}", n)
         s.drop(f"fit-{i}", "measured" if i == 1 else f"rest-{i - 1}")
         if not n:
             break
         # The least edited classes lead first. Then the classes of the smaller components do: once they have,
         # what is left is one component.
         if i == 1:
-            ranked = first_of(left, [F.col("own") / F.col("n"), F.col("cls")], LEADERS[0])
+            ranked = first_of(left, [F.col("own") / F.col("n"), F.col("cls")], LEADERS[0], dealt)
         else:
             sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"), F.max("salts").alias("salts"))
-            ranked = first_of(left.join(sent(salted(sizes), n), ["bucket", "comp", "salt"]), [F.col("m"), F.col("cls")], LEADERS[min(i, len(LEADERS)) - 1])
+            ranked = first_of(left.join(sent(salted(sizes), n), ["bucket", "comp", "salt"]), [F.col("m"), F.col("cls")], LEADERS[min(i, len(LEADERS)) - 1], dealt)
         lead = s.cut(ranked.select("bucket", "salts", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo"), F.col("bits").alias("lb")), f"lead-{i}")
         may = (F.col("comp") != F.col("lc")) & may_link(F.col("n"), F.col("own"), F.col("ln"), F.col("lo"), percent)
         may &= F.lit(100 + percent) * overlap_bound(F.col("n"), "bits", F.col("ln"), "lb") >= F.lit(percent) * (F.col("n") + F.col("ln"))
-        pairs = left.join(sent(salted(lead), lead.count(), SENT // 10), ["bucket", "salt"]).where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
-        pairs = s.cut(pairs.join(tried, ["a", "b"], "left_anti"), f"pairs-{i}")
-        new = s.cut(plausible(sent(pairs, pairs.count()), classes, percent), f"tried-{i}")
+        pairs = left.join(sent(salted(lead), n, SENT // 10), ["bucket", "salt"]).where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
+        new = s.cut(plausible(pairs.join(tried, ["a", "b"], "left_anti"), classes, percent), f"tried-{i}")
         edges = s.cut(confirmed(new, sets, percent), f"edges-{i}")
         tried = tried.unionByName(new)
         if not edges.isEmpty():
@@ -281,10 +280,10 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
             moved = labels.join(more, labels.v == more.w, "left").select("u", F.coalesce("to", "v").alias("v"))
             labels = s.cut(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), f"labels-{i}")
         # Leaders have met everyone in their bucket.
-        rest = left.join(sent(lead.select("bucket", F.col("l").alias("cls")), lead.count()), ["bucket", "cls"], "left_anti")
+        rest = left.join(sent(lead.select("bucket", F.col("l").alias("cls")), n), ["bucket", "cls"], "left_anti")
         left = s.cut(rest.select(*MEMBER), f"rest-{i}")
         n = left.count()
-        s.drop(f"left-{i}", f"lead-{i}", f"pairs-{i}")
+        s.drop(f"left-{i}", f"lead-{i}")
 
     comp = ids.join(labels.toDF("cls", "comp"), "cls", "left").select("cls", "min_id", F.coalesce("comp", "cls").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("min_id").alias("component_id"))
