@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakespan.llm import decontam, langid, minhash, packing, quality
-from lakespan.llm.scratch import Scratch
+from lakespan.llm.scratch import Scratch, sweep
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
+        before = len(Scratch.made)
         docs = s.cut(stage(spark, docs, sf_dir), f"stage-{i}")
+        sweep(before, s)  # what the stage kept for itself
     return docs
