@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakespan.llm.scratch import Scratch
-from lakespan.llm.skew import hot_from, join_hot
+from lakespan.llm.skew import few, hot_from, join_hot
 
 #: Up to so many edges the least neighbours, two numbers a node, are sent to all tasks rather than shuffled.
 SENT = 100_000
@@ -16,7 +16,7 @@ def _least(e: DataFrame, n: int) -> DataFrame:
     """The n edges e (u, v) with m, the least v of u. A node with very many edges isn't gathered in one task."""
     low = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k"))
     if n <= SENT:
-        return e.join(F.broadcast(low.drop("k")), "u")
+        return e.join(F.broadcast(few(low.drop("k"), n)), "u")
     return join_hot(e, low.drop("k"), "u", low.where(F.col("k") > hot_from(n)))
 
 
@@ -42,5 +42,5 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         if not n[0] or n == was:
             return e
         was, i = n, i + 1
-        e = scratch.cut(_small(_large(e, n[0]), n[0]), f"{name}-{i}")
+        e = scratch.cut(few(_small(_large(e, n[0]), n[0]), n[0]), f"{name}-{i}")
         scratch.drop(f"{name}-{i - 1}")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lakespan.llm.graph import components
 from lakespan.llm.scratch import Scratch
-from lakespan.llm.skew import hot_from, join_hot, maybe_in, minus
+from lakespan.llm.skew import few, hot_from, join_hot, maybe_in, minus
 from lakespan.llm.words import _MIX, U, finish, raw_texts, shingle_set
 
 WORDS, PERCENT = 5, 75
@@ -198,7 +198,7 @@ def unsettled(members: DataFrame, labels: DataFrame, s: Scratch, name: str, n: i
     named = labels.select(F.col("u").alias("cls"), F.col("v").alias("comp"))
     now = members.join(named, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     split = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("salts").alias("salts")).where("lo <> hi").select("bucket", "salts")
-    out = s.cut(now.join(sent(salted(split), n), ["bucket", "salt"]), name)
+    out = s.cut(few(now.join(sent(salted(split), n), ["bucket", "salt"]), n), name)
     return out, out.count()
 
 
@@ -254,7 +254,7 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         near = F.greatest("least", F.col("n") - F.col("own"))
         fit = F.lit(100) * (F.col("n") - F.col("own")) >= F.lit(percent) * (near + F.col("own"))
         # Written before what reads it twice, so no round computes the joins of an earlier one again.
-        fitted = s.cut(left.join(sent(salted(least), n), ["bucket", "salt"]).where(fit).select(*MEMBER), f"fit-{i}")
+        fitted = s.cut(few(left.join(sent(salted(least), n), ["bucket", "salt"]).where(fit).select(*MEMBER), n), f"fit-{i}")
         left, n = unsettled(fitted, labels, s, f"left-{i}", n)
         s.drop(f"fit-{i}", "measured" if i == 1 else f"rest-{i - 1}")
         if not n:
@@ -266,7 +266,8 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         else:
             sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"), F.max("salts").alias("salts"))
             ranked = first_of(left.join(sent(salted(sizes), n), ["bucket", "comp", "salt"]), [F.col("m"), F.col("cls")], LEADERS[min(i, len(LEADERS)) - 1], dealt)
-        lead = s.cut(ranked.select("bucket", "salts", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo"), F.col("bits").alias("lb")), f"lead-{i}")
+        lead = ranked.select("bucket", "salts", F.col("cls").alias("l"), F.col("comp").alias("lc"), F.col("n").alias("ln"), F.col("own").alias("lo"), F.col("bits").alias("lb"))
+        lead = s.cut(few(lead, n), f"lead-{i}")
         may = (F.col("comp") != F.col("lc")) & may_link(F.col("n"), F.col("own"), F.col("ln"), F.col("lo"), percent)
         may &= F.lit(100 + percent) * overlap_bound(F.col("n"), "bits", F.col("ln"), "lb") >= F.lit(percent) * (F.col("n") + F.col("ln"))
         pairs = left.join(sent(salted(lead), n, SENT // 10), ["bucket", "salt"]).where(may).select(F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b")).distinct()
@@ -278,10 +279,11 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
             up = edges.join(named.toDF("a", "ca"), "a", "left").join(named.toDF("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("u"), F.coalesce("cb", "b").alias("v")).where("u <> v")
             more = components(up, s, f"cc-{i}").toDF("w", "to")
             moved = labels.join(more, labels.v == more.w, "left").select("u", F.coalesce("to", "v").alias("v"))
-            labels = s.cut(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), f"labels-{i}")
+            known = labels.count() + more.count()
+            labels = s.cut(few(moved.unionByName(more.join(labels, more.w == labels.u, "left_anti").toDF("u", "v")), known), f"labels-{i}")
         # Leaders have met everyone in their bucket.
         rest = left.join(sent(lead.select("bucket", F.col("l").alias("cls")), n), ["bucket", "cls"], "left_anti")
-        left = s.cut(rest.select(*MEMBER), f"rest-{i}")
+        left = s.cut(few(rest.select(*MEMBER), n), f"rest-{i}")
         n = left.count()
         s.drop(f"left-{i}", f"lead-{i}")
 

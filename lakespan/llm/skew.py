@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 #: Words of 64 bits in a filter. It is broadcast: at most so many rows of two numbers, whatever the input.
 SLOTS = 1 << 18
+#: What has at most so many narrow rows is written by a few tasks, in as many files.
+FEW, FEW_TASKS = 100_000, 8
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """df in a few partitions, if it has at most so few rows: small tables aren't worth a file for each partition."""
+    return df.coalesce(FEW_TASKS) if rows <= FEW else df
 
 
 def _hash(key: str) -> str:
