@@ -312,8 +312,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("__uid"))
     ids = rows.select("__uid", order.alias("order"))
     # Only rows of groups of several are looked at again; all others stay where they are.
-    several = own.groupBy("component_id").agg(F.count("*").alias("c")).where("c > 1").select("component_id")
-    grouped = own.join(several, "component_id", "left_semi")
+    several = own.groupBy("component_id").agg(F.count("*").alias("c")).where("c > 1")
+    often = several.where(F.col("c") > hot_from(own.count())).select("component_id")
+    grouped = join_hot(own, several.select("component_id"), "component_id", often, "left_semi")
     stay = grouped.join(ids, own["__own"] == ids["__uid"]).groupBy("component_id").agg(F.min("order")["__uid"].alias("__own"))
     gone = grouped.join(stay, "__own", "left_anti").select(F.col("__own").alias("__uid"))
     return minus(rows, "__uid", s.cut(gone, "gone")).drop("__uid")
